@@ -1,0 +1,144 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tickwright.operators import ordering
+from tickwright.operators.ordering import Slices, at_or_before, kth_smallest, with_neighbour
+
+SCHEMA = "tie long, event_time timestamp, symbol string, close double"
+T0 = datetime(2024, 1, 1)
+
+
+def skewed_rows(n=900, seed=1):
+    """A hot symbol, a crowded instant, rows without time, symbol or close."""
+    rng = random.Random(seed)
+    rows = []
+    for tie in range(n):
+        at = T0 + timedelta(microseconds=rng.randrange(10**9))
+        kind = rng.random()
+        if kind < 0.35:
+            at = T0 + timedelta(seconds=77)
+        elif kind < 0.5:
+            at = None
+        symbol = rng.choice(["HOT", "HOT", "HOT", "HOT", "A", "B", None])
+        rows.append((tie, at, symbol, None if rng.random() < 0.1 else float(tie)))
+    rng.shuffle(rows)
+    return rows
+
+
+def order_key(row):
+    tie, at, symbol, _ = row
+    return (symbol is None, symbol or "", at is None, at or T0, tie)
+
+
+def expected_neighbours(rows, offset):
+    ranked = sorted(rows, key=order_key)
+    found = {}
+    for i, row in enumerate(ranked):
+        j = i + offset
+        same = 0 <= j < len(ranked) and ranked[j][2] == row[2] and row[2] is not None
+        found[row[0]] = ranked[j][3] if same else None
+    return found
+
+
+@pytest.mark.parametrize("step", ["next", "previous"])
+@pytest.mark.parametrize("rows_per_slice", [10_000, 60, 13])
+def test_neighbour_equals_brute_force(spark, step, rows_per_slice):
+    rows = skewed_rows()
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = with_neighbour(
+        frame, "close", "near", "tie", step=step, rows_per_slice=rows_per_slice
+    )
+    assert found.columns == [*frame.columns, "near"]
+    got = {r["tie"]: r["near"] for r in found.collect()}
+    assert got == expected_neighbours(rows, 1 if step == "next" else -1)
+
+
+def test_neighbour_without_symbol_is_one_series(spark):
+    rows = [(i, T0 + timedelta(seconds=i), None, float(i)) for i in range(50)]
+    frame = spark.createDataFrame(rows, SCHEMA).drop("symbol")
+    for limit in (1000, 7):
+        found = with_neighbour(frame, "close", "near", "tie", by=None, rows_per_slice=limit)
+        got = {r["tie"]: r["near"] for r in found.collect()}
+        assert got == {i: float(i + 1) if i < 49 else None for i in range(50)}
+
+
+def test_no_slice_outgrows_its_share(spark):
+    frame = spark.createDataFrame(skewed_rows(3000), SCHEMA)
+    slices = Slices.plan(frame, "tie", rows_per_slice=100)
+    assert slices.crowded
+    sizes = slices.assign(frame, "tie").groupBy("slice_no").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 250
+
+
+def test_sliced_plan_shuffles_the_rows_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.createDataFrame(skewed_rows(), SCHEMA)
+        found = with_neighbour(frame, "close", "near", "tie", rows_per_slice=60)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows_side = plan.split("LeftOuter")[1].split("Window")[1]
+    assert plan.count("hashpartitioning(symbol") == 4  # rows once, the summary three times
+    assert "SinglePartition" not in plan
+    assert rows_side.count("Exchange") >= 1
+
+
+@pytest.mark.parametrize("sort_limit", [1_000_000, 20, 1])
+def test_kth_smallest(spark, sort_limit):
+    rng = random.Random(3)
+    values = [rng.choice([5, 5, 5, 9, 9, rng.randrange(1000)]) for _ in range(400)] + [None] * 30
+    frame = spark.createDataFrame([(v,) for v in values], "v long")
+    ranked = sorted(v for v in values if v is not None)
+    for k in (1, 37, 200, 399, 400):
+        value, below = kth_smallest(frame, "v", k, sort_limit)
+        assert value == ranked[k - 1]
+        assert below == sum(v < value for v in ranked)
+
+
+@pytest.mark.parametrize("k", [1, 250, 500, 720, 899, 900])
+def test_position_cuts_exactly(spark, k):
+    rows = skewed_rows()
+    frame = spark.createDataFrame(rows, SCHEMA)
+    head = at_or_before(ordering.split_position(frame, k, "tie"), "tie")
+    got = {r["tie"] for r in frame.where(head).collect()}
+    assert got == {row[0] for row in sorted(rows, key=order_key)[:k]}
+    assert frame.where(~head).count() == len(rows) - k
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(0, 5)),
+            st.sampled_from(["A", "B", None]),
+            st.one_of(st.none(), st.floats(-1, 1)),
+        ),
+        min_size=1,
+        max_size=40,
+    ),
+    st.integers(2, 15),
+)
+def test_neighbour_property(spark, drawn, rows_per_slice):
+    rows = [
+        (i, None if at is None else T0 + timedelta(seconds=at), symbol, close)
+        for i, (at, symbol, close) in enumerate(drawn)
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = with_neighbour(frame, "close", "near", "tie", rows_per_slice=rows_per_slice)
+    assert {r["tie"]: r["near"] for r in found.collect()} == expected_neighbours(rows, 1)
+
+
+def test_latest_keeps_the_newest_in_rising_order(spark):
+    frame = spark.createDataFrame(skewed_rows(), SCHEMA).where("event_time is not null")
+    newest = ordering.latest(frame, 5, ["event_time"], ["tie"])
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    got = [(r["event_time"], r["tie"]) for r in newest.collect()]
+    everything = sorted((r["event_time"], r["tie"]) for r in frame.collect())
+    assert got == everything[-5:]
+    assert "TakeOrderedAndProject" in plan

@@ -1,0 +1,95 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickwright.functions.prices import silver_features, with_spread
+from tickwright.operators import training
+from tickwright.schemas import FEATURES, TARGET, TICK
+
+T0 = datetime(2024, 1, 1)
+
+
+def ticks(spark, n, source="simulated", symbol="A"):
+    rows = [
+        (T0 + timedelta(seconds=i), symbol, 1.0, 2.0, 0.5, float(i), 10.0, source)
+        for i in range(n)
+    ]
+    return spark.createDataFrame(rows, TICK)
+
+
+@pytest.mark.parametrize(
+    ("n_silver", "sources"),
+    [(0, {"past": 5}), (29, {"simulated": 29, "past": 5}), (30, {"simulated": 30})],
+)
+def test_top_up_threshold(spark, n_silver, sources):
+    silver = silver_features(ticks(spark, n_silver))
+    history = with_spread(ticks(spark, 5, "past"))
+    joined = training.top_up(silver, history)
+    got = {r["source"]: r["count"] for r in joined.groupBy("source").count().collect()}
+    assert got == sources
+
+
+def test_top_up_keeps_duplicates(spark):
+    silver = silver_features(ticks(spark, 3))
+    assert training.top_up(silver, silver).count() == 6
+
+
+def test_clean_history_drops_rows_with_any_gap(spark):
+    rows = [
+        (T0, "A", 1.0, 2.0, 0.5, 1.0, 1.0, "s"),
+        (T0, "A", 1.0, 2.0, 0.5, float("nan"), 1.0, "s"),
+        (T0, None, 1.0, 2.0, 0.5, 1.0, 1.0, "s"),
+        (T0, "A", 1.0, None, 0.5, 1.0, 1.0, "s"),
+    ]
+    cleaned = training.clean_history(spark.createDataFrame(rows, TICK)).collect()
+    assert len(cleaned) == 1 and cleaned[0]["hl_spread"] == 1.5
+
+
+def test_dropped_row_still_is_the_next_close(spark):
+    frame = with_spread(ticks(spark, 3)).withColumn("tie", F.col("close").cast("long"))
+    gap = frame.withColumn("volume", F.when(F.col("tie") != 1, F.col("volume")))
+    rows = training.training_rows(training.label_next_close(gap, "tie"))
+    assert rows.columns == [*FEATURES, TARGET]
+    assert [(r["close"], r[TARGET]) for r in rows.collect()] == [(0.0, 1.0)]
+
+
+def test_label_needs_neither_symbol_nor_time(spark):
+    frame = ticks(spark, 4).withColumn("tie", F.col("close").cast("long"))
+    for dropped in (["symbol"], ["symbol", "event_time"]):
+        found = training.label_next_close(frame.drop(*dropped), "tie")
+        assert found.columns == [*frame.drop(*dropped).columns, TARGET]
+        got = {r["close"]: r[TARGET] for r in found.collect()}
+        assert got == {0.0: 1.0, 1.0: 2.0, 2.0: 3.0, 3.0: None}
+
+
+def split_parts(spark, rows):
+    frame = spark.createDataFrame(rows, "tie long, event_time timestamp, symbol string")
+    head, tail = training.chrono_split(frame, "tie")
+    return sorted(r["tie"] for r in head.collect()), sorted(r["tie"] for r in tail.collect())
+
+
+def test_split_takes_whole_symbols_in_alphabetic_order(spark):
+    rows = [(i, T0 + timedelta(seconds=i), "AB"[i % 2]) for i in range(11)]
+    head, tail = split_parts(spark, rows)
+    assert head == [0, 1, 2, 3, 4, 6, 8, 10]  # int(0.8 * 11) rows: all of A, then B by time
+    assert tail == [5, 7, 9]
+
+
+def test_split_breaks_ties_of_one_instant(spark):
+    head, tail = split_parts(spark, [(i, T0, "A") for i in range(10)])
+    assert (head, tail) == (list(range(8)), [8, 9])
+
+
+def test_too_few_rows_is_an_error(spark):
+    with pytest.raises(ValueError, match="9 labelled rows"):
+        split_parts(spark, [(i, T0, "A") for i in range(9)])
+
+
+def test_split_parts_are_plain_filters(spark, path):
+    frame = ticks(spark, 50).withColumn("tie", F.col("close").cast("long"))
+    frame.write.parquet(path("rows"))
+    head, tail = training.chrono_split(spark.read.parquet(path("rows")), "tie")
+    for part in (head, tail):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from tickwright import settings
 from tickwright.functions.numbers import absolute_error, is_finite, number_or_zero
+from tickwright.functions.predictions import PREDICTION, unify_prediction
 from tickwright.operators import ordering
 from tickwright.operators.regression import LinearModel
 from tickwright.schemas import FEATURES
 
-# Names used by tables written before the target was renamed.
-LEGACY_PREDICTION = "pred_close"
-PREDICTION = "pred_next_close"
+# How a reader view names its origin.
 DEMO_MODE = "demo_from_silver"
 STREAM_MODE = "stream"
 
@@ -42,13 +41,6 @@ def score_ticks(ticks: DataFrame, model: LinearModel) -> DataFrame:
     return scored.withColumn("prediction_target", F.lit(model.target))
 
 
-def unify_prediction(df: DataFrame) -> DataFrame:
-    """Offer ``pred_next_close`` on tables that only carry the legacy column."""
-    if PREDICTION not in df.columns and LEGACY_PREDICTION in df.columns:
-        return df.withColumn(PREDICTION, F.col(LEGACY_PREDICTION))
-    return df
-
-
 def with_errors(predictions: DataFrame, tie: str, **options) -> DataFrame:
     """Actual next close and absolute error, of the rows that have actual and prediction.
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwright.functions.numbers import human_bytes
+from tickwright.functions.predictions import unify_prediction
 from tickwright.functions.prices import silver_features, with_spread
 from tickwright.functions.ticks import encode_ticks, parse_ticks, tick_json
 from tickwright.operators import evaluation, regression, scoring, training
@@ -175,7 +176,7 @@ def score_fill_missing(spark: Spark, sf_dir: str) -> DataFrame:
 
 def legacy_prediction_alias(spark: Spark, sf_dir: str) -> DataFrame:
     old = predictions(spark, sf_dir).withColumnRenamed("pred_next_close", "pred_close")
-    view = scoring.unify_prediction(old).select(TIE, "pred_close", "pred_next_close")
+    view = unify_prediction(old).select(TIE, "pred_close", "pred_next_close")
     return rounded(view, 4)
 
 

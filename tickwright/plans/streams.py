@@ -34,7 +34,7 @@ def _run(start, spark: Spark, sf_dir: str, *args, **options) -> str:
     """Run one of the jobs over all messages and return the path of its output."""
     ticks = tick_stream(spark, "json", published(spark, sf_dir))
     out = scratch(spark, "output")
-    finish(start(ticks, *args, out, scratch(spark, "checkpoint"), once=True, **options))
+    finish(start(ticks, *args, out, scratch(spark, "checkpoint"), trigger=jobs.AVAILABLE_NOW, **options))
     return out
 
 
@@ -79,7 +79,7 @@ def stream_score(spark: Spark, sf_dir: str) -> DataFrame:
     model = regression.fit(labelled(spark, sf_dir))
     ticks = tick_stream(spark, "json", published(spark, sf_dir))
     out = scratch(spark, "predictions")
-    finish(jobs.start_scoring(ticks, model, out, scratch(spark, "checkpoint"), once=True))
+    finish(jobs.start_scoring(ticks, model, out, scratch(spark, "checkpoint"), trigger=jobs.AVAILABLE_NOW))
     stored = tables.read_predictions(spark, out)
     view = stored.select("event_time", "symbol", "close", "pred_next_close", "prediction_target")
     return naive_times(rounded(view, 3))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwright import settings
+from tickwright.functions.predictions import unify_prediction
 from tickwright.schemas import PREDICTIONS, SILVER, STATS
 from tickwright.sources import files
 
@@ -12,8 +13,16 @@ SNAPSHOT_PREFIX = "version="
 BATCH_PREFIX = "batch_id="
 
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def empty(spark: SparkSession, schema: T.StructType, row_id: str | None = None) -> DataFrame:
+    fields = [T.StructField(row_id, T.LongType())] if row_id else []
+    return spark.createDataFrame([], T.StructType(schema.fields + fields))
+
+
+def _with_row_id(table: DataFrame, row_id: str | None) -> DataFrame:
+    if row_id is None:
+        return table
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return table.select("*", place.alias(row_id))
 
 
 def read_tolerant(
@@ -25,10 +34,8 @@ def read_tolerant(
     rows apart and is the same at every read: it stems from the file and the row's place
     in it, so it also works as tie-breaker between ticks of the same instant.
     """
-    names = schema.fieldNames()
     if not files.exists(spark, path):
-        missing = empty(spark, schema)
-        return missing.withColumn(row_id, F.lit(None).cast("long")) if row_id else missing
+        return empty(spark, schema, row_id)
     table = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
@@ -36,10 +43,7 @@ def read_tolerant(
         .option("ignoreCorruptFiles", True)
         .parquet(path)
     )
-    if row_id is None:
-        return table
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    return table.select(*names, place.alias(row_id))
+    return _with_row_id(table, row_id)
 
 
 def read_silver(spark: SparkSession, path: str, row_id: str | None = None) -> DataFrame:
@@ -92,21 +96,31 @@ def read_stats_changes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_predictions(
-    spark: SparkSession, path: str, n_batches: int | None = settings.LATEST_BATCHES
+    spark: SparkSession,
+    path: str,
+    n_batches: int | None = settings.LATEST_BATCHES,
+    row_id: str | None = None,
 ) -> DataFrame:
     """Stored predictions of the newest ``n_batches`` batches (None: of all).
 
-    Picks the folders by name, so older batches are neither listed nor read.
+    Picks the folders by name, so older batches are neither listed nor read. The columns
+    come from the files, as old ones may only have the prediction's former name.
     """
     batches = [name for name, _ in files.children(spark, path) if name.startswith(BATCH_PREFIX)]
     if not batches:
-        return empty(spark, PREDICTIONS)
+        return empty(spark, PREDICTIONS, row_id)
     batches.sort(key=lambda name: int(name[len(BATCH_PREFIX) :]))
     if n_batches is not None:
         batches = batches[-n_batches:]
-    return (
-        spark.read.schema(PREDICTIONS)
-        .option("basePath", path)
+    stored = (
+        spark.read.option("basePath", path)
+        .option("mergeSchema", True)
         .option("ignoreCorruptFiles", True)
         .parquet(*[f"{path}/{name}" for name in batches])
     )
+    table = unify_prediction(_with_row_id(stored, row_id))
+    wanted = [
+        (F.col(f.name) if f.name in table.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in PREDICTIONS
+    ]
+    return table.select(*wanted, *([row_id] if row_id else []))

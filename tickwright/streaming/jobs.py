@@ -15,30 +15,57 @@ from tickwright.streaming.lifecycle import state_settings
 STATS_ORDER = ["window_start", "symbol"]
 
 
-def _start(writer: DataStreamWriter, checkpoint: str | None, once: bool) -> StreamingQuery:
-    """``once`` works off what is there and ends; else batches follow each other at once."""
+Trigger = dict | None
+
+# Works off what is there and ends. Without a trigger, batches follow each other at once.
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def _start(writer: DataStreamWriter, checkpoint: str | None, trigger: Trigger) -> StreamingQuery:
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    if once:
-        writer = writer.trigger(availableNow=True)
+    if trigger:
+        writer = writer.trigger(**trigger)
     return writer.start()
 
 
-def _append_table(df, path, name, checkpoint, once):
+def _append_table(df, path, name, checkpoint, trigger):
     writer = df.writeStream.format("parquet").queryName(name).outputMode("append")
-    return _start(writer.option("path", path), checkpoint, once)
+    return _start(writer.option("path", path), checkpoint, trigger)
 
 
-def start_bronze(ticks: DataFrame, path: str, checkpoint: str, once: bool = False):
+def start_bronze(ticks: DataFrame, path: str, checkpoint: str, trigger: Trigger = None):
     """Append the ticks as they are, rows of NULLs from broken messages included."""
     watermarked = with_watermark(ticks, WATERMARK)
-    return _append_table(watermarked, path, "bronze_sink", checkpoint, once)
+    return _append_table(watermarked, path, "bronze_sink", checkpoint, trigger)
 
 
-def start_silver(ticks: DataFrame, path: str, checkpoint: str, once: bool = False):
+def start_silver(ticks: DataFrame, path: str, checkpoint: str, trigger: Trigger = None):
     """Append the ticks with their feature columns."""
     features = silver_features(with_watermark(ticks, WATERMARK))
-    return _append_table(features, path, "silver_sink", checkpoint, once)
+    return _append_table(features, path, "silver_sink", checkpoint, trigger)
+
+
+def start_bronze_and_silver(
+    ticks: DataFrame, bronze: str, silver: str, checkpoint: str, trigger: Trigger = None
+):
+    """Both tables from one stream: messages are read and parsed once instead of twice.
+
+    Each micro-batch has a folder of its own in either table, so a repeated batch
+    replaces what an earlier try left.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                write_batch(batch, bronze, batch_id)
+                write_batch(silver_features(batch), silver, batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = ticks.writeStream.queryName("bronze_silver").outputMode("append")
+    return _start(writer.foreachBatch(store), checkpoint, trigger)
 
 
 def streaming_stats(ticks: DataFrame, size: str, slide: str | None = None) -> DataFrame:
@@ -51,7 +78,7 @@ def start_stats_snapshot(
     checkpoint: str,
     size: str = "10 seconds",
     slide: str | None = None,
-    once: bool = False,
+    trigger: Trigger = None,
     **state,
 ):
     """Keep a snapshot table of all windows ever seen.
@@ -70,7 +97,7 @@ def start_stats_snapshot(
         .foreachBatch(store)
     )
     with state_settings(ticks.sparkSession, **state):
-        return _start(writer, checkpoint, once)
+        return _start(writer, checkpoint, trigger)
 
 
 def start_stats_changes(
@@ -79,7 +106,7 @@ def start_stats_changes(
     checkpoint: str,
     size: str = "10 seconds",
     slide: str | None = None,
-    once: bool = False,
+    trigger: Trigger = None,
     **state,
 ):
     """Append the windows each batch changed; ``read_stats_changes`` gives their last state.
@@ -98,7 +125,7 @@ def start_stats_changes(
         .foreachBatch(store)
     )
     with state_settings(ticks.sparkSession, **state):
-        return _start(writer, checkpoint, once)
+        return _start(writer, checkpoint, trigger)
 
 
 def start_stats_final(
@@ -107,13 +134,13 @@ def start_stats_final(
     checkpoint: str,
     size: str = "10 seconds",
     slide: str | None = None,
-    once: bool = False,
+    trigger: Trigger = None,
     **state,
 ):
     """Append every window once, after the watermark has passed its end."""
     final = streaming_stats(ticks, size, slide)
     with state_settings(ticks.sparkSession, **state):
-        return _append_table(final, path, "stats_final", checkpoint, once)
+        return _append_table(final, path, "stats_final", checkpoint, trigger)
 
 
 def start_stats_console(
@@ -121,7 +148,7 @@ def start_stats_console(
     size: str = "10 seconds",
     slide: str | None = None,
     rows: int = 10,
-    once: bool = False,
+    trigger: Trigger = None,
     **state,
 ):
     """Print the windows each batch changed; keeps no checkpoint."""
@@ -134,7 +161,7 @@ def start_stats_console(
         .option("numRows", rows)
     )
     with state_settings(ticks.sparkSession, **state):
-        return _start(writer, None, once)
+        return _start(writer, None, trigger)
 
 
 def start_scoring(
@@ -142,7 +169,7 @@ def start_scoring(
     model: LinearModel,
     path: str,
     checkpoint: str,
-    once: bool = False,
+    trigger: Trigger = None,
 ):
     """Score the ticks and store one folder of predictions per micro-batch."""
 
@@ -154,4 +181,4 @@ def start_scoring(
     writer = (
         scored.writeStream.queryName("predictions").outputMode("append").foreachBatch(store)
     )
-    return _start(writer, checkpoint, once)
+    return _start(writer, checkpoint, trigger)
