@@ -46,7 +46,7 @@ def expected_neighbours(rows, offset):
 
 
 @pytest.mark.parametrize("step", ["next", "previous"])
-@pytest.mark.parametrize("rows_per_slice", [10_000, 60, 13])
+@pytest.mark.parametrize("rows_per_slice", [10_000, 30])
 def test_neighbour_equals_brute_force(spark, step, rows_per_slice):
     rows = skewed_rows()
     frame = spark.createDataFrame(rows, SCHEMA)
@@ -101,7 +101,7 @@ def test_kth_smallest(spark, sort_limit):
         assert below == sum(v < value for v in ranked)
 
 
-@pytest.mark.parametrize("k", [1, 250, 500, 720, 899, 900])
+@pytest.mark.parametrize("k", [1, 500, 720, 900])
 def test_position_cuts_exactly(spark, k):
     rows = skewed_rows()
     frame = spark.createDataFrame(rows, SCHEMA)
@@ -111,7 +111,7 @@ def test_position_cuts_exactly(spark, k):
     assert frame.where(~head).count() == len(rows) - k
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(

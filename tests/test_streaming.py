@@ -1,0 +1,233 @@
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickwright.functions.prices import silver_features
+from tickwright.operators.regression import LinearModel
+from tickwright.operators.windows import window_stats
+from tickwright.schemas import FEATURES, SILVER, STATS, TICK
+from tickwright.sinks.messages import publish
+from tickwright.sources import files, logs, tables
+from tickwright.sources.ticks import tick_stream
+from tickwright.streaming import jobs, lifecycle, progress
+
+T0 = datetime(2024, 1, 1)
+NOW = {"trigger": jobs.AVAILABLE_NOW}
+MODEL = LinearModel(FEATURES, [0.0, 0.0, 0.0, 1.0, 0.0, 0.0], 0.5)
+
+
+def message(second, close=1.0, symbol="A"):
+    at = (T0 + timedelta(seconds=second)).isoformat() + "+00:00"
+    prices = {"open": 1.0, "high": 2.0, "low": 0.5, "close": close, "volume": 10.0}
+    return json.dumps({"event_time": at, "symbol": symbol, **prices, "source": "simulated"})
+
+
+def send(spark, folder, name, *messages):
+    files.write_text(spark, f"{folder}/{name}", "\n".join(messages) + "\n")
+
+
+def finish(query):
+    assert query.awaitTermination(120)
+
+
+def ticks(spark, folder):
+    """One file per micro-batch, in the order the files came."""
+    return tick_stream(spark, "json", folder, max_per_trigger=1)
+
+
+def stat_rows(frame):
+    return sorted(tuple(r) for r in frame.select(*STATS.fieldNames()).collect())
+
+
+MANY = [message(i * 3, float(i % 7), "AB"[i % 2]) for i in range(60)]
+
+
+def test_bronze_keeps_broken_messages_and_stats_do_not(spark, path):
+    send(spark, path("in"), "0", *MANY[:5], "broken", message(9).replace("2024", "bad"))
+    finish(jobs.start_bronze(ticks(spark, path("in")), path("bronze"), path("c1"), **NOW))
+    finish(jobs.start_stats_snapshot(ticks(spark, path("in")), path("stats"), path("c2"), **NOW))
+    bronze = tables.read_tolerant(spark, path("bronze"), TICK)
+    assert bronze.count() == 7
+    assert bronze.where("symbol is null and close is null").count() == 1
+    assert bronze.where("symbol is not null and event_time is null").count() == 1
+    total = tables.read_stats(spark, path("stats")).agg(F.sum("n_obs")).first()[0]
+    assert total == 5
+
+
+def test_silver_stream_equals_batch(spark, path):
+    send(spark, path("in"), "0", *MANY[:30])
+    send(spark, path("in"), "1", *MANY[30:])
+    finish(jobs.start_silver(ticks(spark, path("in")), path("silver"), path("c"), **NOW))
+    finish(jobs.start_bronze(ticks(spark, path("in")), path("bronze"), path("d"), **NOW))
+    silver = tables.read_silver(spark, path("silver"))
+    batch = silver_features(tables.read_tolerant(spark, path("bronze"), TICK))
+    assert silver.columns == SILVER.fieldNames()
+    assert sorted(silver.collect()) == sorted(batch.collect()) and silver.count() == 60
+
+
+def test_both_tables_from_one_stream(spark, path):
+    send(spark, path("in"), "0", *MANY[:30])
+    send(spark, path("in"), "1", *MANY[30:])
+    source = ticks(spark, path("in"))
+    finish(
+        jobs.start_bronze_and_silver(source, path("bronze"), path("silver"), path("c"), **NOW)
+    )
+    assert tables.read_tolerant(spark, path("bronze"), TICK).count() == 60
+    assert tables.read_silver(spark, path("silver")).where("range_bucket = 'low'").count() == 60
+
+
+@pytest.mark.parametrize("store", ["hdfs", "rocksdb"])
+def test_snapshot_and_changes_equal_batch(spark, path, store):
+    for i in range(3):
+        send(spark, path("in"), str(i), *MANY[20 * i : 20 * i + 20])
+    source = ticks(spark, path("in"))
+    options = {**NOW, "partitions": 2, "store": store}
+    finish(jobs.start_stats_snapshot(source, path("stats"), path("c1"), **options))
+    finish(jobs.start_stats_changes(source, path("changes"), path("c2"), **options))
+    finish(jobs.start_bronze(source, path("bronze"), path("c3"), **NOW))
+    batch = stat_rows(window_stats(tables.read_tolerant(spark, path("bronze"), TICK)))
+    assert stat_rows(tables.read_stats(spark, path("stats"))) == batch
+    assert stat_rows(tables.read_stats_changes(spark, path("changes"))) == batch
+
+
+def test_sliding_stream_equals_batch(spark, path):
+    send(spark, path("in"), "0", *MANY)
+    source, span = ticks(spark, path("in")), {"size": "10 seconds", "slide": "5 seconds"}
+    finish(jobs.start_stats_snapshot(source, path("stats"), path("c1"), **span, **NOW))
+    finish(jobs.start_bronze(source, path("bronze"), path("c2"), **NOW))
+    batch = window_stats(tables.read_tolerant(spark, path("bronze"), TICK), *span.values())
+    assert stat_rows(tables.read_stats(spark, path("stats"))) == stat_rows(batch)
+
+
+def send_late(spark, folder):
+    """The second batch moves the watermark to 00:08:00, which holds from the fourth on.
+
+    Late ticks are told by the watermark the batch before them began with.
+    """
+    for i, second in enumerate([2, 600, 601, 3]):
+        send(spark, folder, str(i), message(second, float(i)))
+
+
+def test_late_tick_counts_in_complete_mode_only(spark, path):
+    send_late(spark, path("in"))
+    listener = progress.watch(spark, path("progress"))
+    source = ticks(spark, path("in"))
+    try:
+        finish(jobs.start_stats_snapshot(source, path("stats"), path("c1"), **NOW))
+        finish(jobs.start_stats_changes(source, path("changes"), path("c2"), **NOW))
+        progress.drain(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    complete = {r["window_start"]: r["n_obs"] for r in tables.read_stats(spark, path("stats")).collect()}
+    update = tables.read_stats_changes(spark, path("changes")).collect()
+    assert complete == {T0: 2, T0 + timedelta(minutes=10): 2}
+    assert {r["window_start"]: r["n_obs"] for r in update} == {T0: 1, T0 + timedelta(minutes=10): 2}
+    seen = logs.progress_metrics(logs.read_progress(spark, path("progress")))
+    dropped = {
+        r["name"]: r["n"]
+        for r in seen.groupBy("name").agg(F.sum("dropped_rows").alias("n")).collect()
+    }
+    assert dropped == {"stats_snapshot": 0, "stats_changes": 1}
+    last = logs.progress_metrics(logs.latest_progress(logs.read_progress(spark, path("progress"))))
+    state = {r["name"]: r["state_rows"] for r in last.collect()}
+    assert state == {"stats_snapshot": 2, "stats_changes": 1}  # the closed window has left
+
+
+def test_final_windows_wait_for_the_watermark(spark, path):
+    send_late(spark, path("in"))
+    finish(jobs.start_stats_final(ticks(spark, path("in")), path("final"), path("c"), **NOW))
+    got = tables.read_tolerant(spark, path("final"), STATS).collect()
+    assert [(r["window_start"], r["n_obs"]) for r in got] == [(T0, 1)]
+
+
+def test_console_gets_the_changed_windows(spark, path):
+    send(spark, path("in"), "0", message(2))
+    query = jobs.start_stats_console(ticks(spark, path("in")), **NOW)
+    finish(query)
+    shown = query.recentProgress
+    assert "ConsoleTable" in shown[0]["sink"]["description"]
+    assert shown[0]["stateOperators"][0]["numRowsUpdated"] == 1
+
+
+def test_restart_goes_on_where_it_stopped(spark, path):
+    send(spark, path("in"), "0", *MANY[:30])
+    finish(jobs.start_stats_changes(ticks(spark, path("in")), path("s"), path("c"), **NOW))
+    finish(jobs.start_silver(ticks(spark, path("in")), path("silver"), path("d"), **NOW))
+    send(spark, path("in"), "1", *MANY[30:])
+    finish(jobs.start_stats_changes(ticks(spark, path("in")), path("s"), path("c"), **NOW))
+    finish(jobs.start_silver(ticks(spark, path("in")), path("silver"), path("d"), **NOW))
+    assert tables.read_silver(spark, path("silver")).count() == 60
+    got = tables.read_stats_changes(spark, path("s"))
+    assert got.agg(F.sum("n_obs")).first()[0] == 60
+
+
+def test_scores_are_stored_per_batch(spark, path):
+    send(spark, path("in"), "0", message(1, 1.0), message(2, 2.0))
+    send(spark, path("in"), "1", message(3, 3.0), "broken")
+    source = ticks(spark, path("in"))
+    finish(jobs.start_scoring(source, MODEL, path("p"), path("c"), **NOW))
+    got = tables.read_predictions(spark, path("p"))
+    rows = sorted((r["batch_id"], r["close"], r["pred_next_close"]) for r in got.collect())
+    assert rows == [(0, 1.0, 1.5), (0, 2.0, 2.5), (1, 0.0, 0.5), (1, 3.0, 3.5)]
+    finish(jobs.start_scoring(source, MODEL, path("p"), path("fresh"), **NOW))
+    assert tables.read_predictions(spark, path("p")).count() == 4
+
+
+def test_batches_without_ticks_write_nothing(spark, path):
+    files.write_text(spark, path("in/0"), "")
+    finish(jobs.start_scoring(ticks(spark, path("in")), MODEL, path("p"), path("c"), **NOW))
+    finish(jobs.start_stats_snapshot(ticks(spark, path("in")), path("s"), path("d"), **NOW))
+    assert files.children(spark, path("p")) == [] and files.children(spark, path("s")) == []
+
+
+def test_a_failing_batch_ends_the_stream(spark, path):
+    send(spark, path("in"), "0", message(1))
+    wrong = LinearModel(["no_such_column"], [1.0], 0.0)
+    files.write_text(spark, path("blocked"), "a file where the table should be")
+    query = jobs.start_scoring(
+        ticks(spark, path("in")), wrong, path("blocked"), path("c"), **NOW
+    )
+    with pytest.raises(Exception, match="(?i)blocked|exception"):
+        query.awaitTermination(120)
+
+
+def test_published_ticks_come_back(spark, path):
+    rows = [(T0 + timedelta(seconds=i), "A", 1.0, 2.0, 0.5, i / 3, 1.0, "s") for i in range(9)]
+    frame = spark.createDataFrame(rows, TICK)
+    publish(frame, "json", path("in"))
+    finish(jobs.start_bronze(ticks(spark, path("in")), path("b"), path("c"), **NOW))
+    assert sorted(tables.read_tolerant(spark, path("b"), TICK).collect()) == sorted(frame.collect())
+
+
+def test_parquet_source(spark, path):
+    rows = [(T0, "A", 1.0, 2.0, 0.5, 1.0, 1.0, "s")]
+    spark.createDataFrame(rows, TICK).write.parquet(path("in"))
+    source = tick_stream(spark, "parquet", path("in"))
+    finish(jobs.start_bronze(source, path("b"), path("c"), **NOW))
+    assert tables.read_tolerant(spark, path("b"), TICK).count() == 1
+
+
+def test_checkpoint_choice(spark, path):
+    root, out = path("checkpoints"), path("out")
+
+    def choose(option):
+        return lifecycle.checkpoint_path(spark, root, option, out)[len(root) :]
+
+    assert choose("resume") == choose("fresh") == choose("replay_if_empty") == "/run=000000"
+    files.write_text(spark, f"{root}/run=000000/metadata", "x")
+    assert choose("resume") == "/run=000000"
+    assert choose("fresh") == choose("replay_if_empty") == "/run=000001"
+    files.write_text(spark, f"{out}/batch_id=00000000/part.parquet", "x")
+    assert choose("replay_if_empty") == "/run=000000"
+    with pytest.raises(ValueError, match="start option"):
+        choose("maybe")
+
+
+def test_state_settings_are_given_back(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with lifecycle.state_settings(spark, partitions=3):
+        assert spark.conf.get(key) == "3"
+    assert spark.conf.get(key) == before

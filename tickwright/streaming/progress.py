@@ -44,6 +44,8 @@ class ProgressFiles(StreamingQueryListener):
 
 
 def watch(spark: SparkSession, path: str) -> ProgressFiles:
+    """Record the progress of the streams that start from now on."""
+    drain(spark)
     listener = ProgressFiles(spark, path)
     spark.streams.addListener(listener)
     return listener
