@@ -30,10 +30,11 @@ def error_histogram(
     are all equal fall in bin 0.
     """
     values = errors.select(F.col(column).alias("x")).where(F.col("x").isNotNull())
-    bounds = values.agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
-    width = high - low
-    bin_no = F.when(width > 0, F.floor((F.col("x") - low) / width * bins)).otherwise(F.lit(0))
+    low, high = values.agg(F.min("x"), F.max("x")).first()
+    if low is None or high == low:
+        bin_no = F.lit(0)
+    else:
+        bin_no = F.floor((F.col("x") - low) / (high - low) * bins)
     return (
         values.select(F.least(bin_no, F.lit(bins - 1)).cast("int").alias("bin"))
         .groupBy("bin")

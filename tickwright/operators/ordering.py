@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 16_384
+MAX_SLICES = 32_768
+SAMPLED_PER_SLICE = 200
 SORT_LIMIT = 1_000_000
 
 
@@ -43,10 +44,11 @@ class Slices:
     """Cuts of the time axis that leave each slice about the same number of rows.
 
     An instant that fills whole slices alone (``crowded``), and the rows without an
-    instant, are cut again along the tie. At most two shares of the rows land in a slice,
-    however the instants are distributed, because ties are unique.
+    instant, are cut again along the tie. However the instants are distributed, no more
+    than about two shares of the rows land in a slice, because ties are unique.
     """
 
+    count: int
     time_cuts: tuple[float, ...]
     tie_cuts: tuple[float, ...]
     crowded: tuple[float, ...]
@@ -58,18 +60,26 @@ class Slices:
         time: str = "event_time",
         rows_per_slice: int = ROWS_PER_SLICE,
     ) -> "Slices | None":
-        """Cuts for ``df``, or None when the whole table fits one slice."""
-        wanted = min(MAX_SLICES, math.ceil(df.count() / rows_per_slice))
+        """Cuts for ``df``, or None when the whole table fits one slice.
+
+        On large tables the quantiles come from a sample of the keys. That only moves the
+        cuts a little: every row gets its slice, and no result depends on where cuts lie.
+        """
+        n = df.count()
+        wanted = min(MAX_SLICES, math.ceil(n / rows_per_slice))
         if wanted <= 1:
             return None
         shares = [i / wanted for i in range(1, wanted)]
         keys = df.select(
             micros(time).cast("double").alias("at"), F.col(tie).cast("double").alias("tie")
         )
+        enough = wanted * SAMPLED_PER_SLICE
+        if n > 2 * enough:
+            keys = keys.sample(enough / n, seed=1)
         at, ties = keys.approxQuantile(["at", "tie"], shares, 1 / (4 * wanted))
         crowded = sorted({a for a, b in zip(at, at[1:]) if a == b})
         cuts = sorted({*at, *crowded, *(a + 1 for a in crowded)})
-        return Slices(tuple(cuts), tuple(sorted(set(ties))), tuple(crowded))
+        return Slices(wanted, tuple(cuts), tuple(sorted(set(ties))), tuple(crowded))
 
     def assign(self, df: DataFrame, tie: str, time: str = "event_time") -> DataFrame:
         """Add ``slice_no``, rising with (time, tie): equal plans give equal numbers."""
@@ -118,6 +128,8 @@ def with_neighbour(
 
     sliced = slices.assign(df, tie, time)
     keys = [*group, "slice_no"]
+    # a task per slice at least, however few the session asks for
+    tasks = max(slices.count, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     inside = Window.partitionBy(*keys).orderBy(*time_order(tie, time))
     # boxed in a struct, a neighbour whose value is NULL differs from no neighbour at all
     boxed = F.struct(F.col(value).alias("value"))
@@ -131,7 +143,8 @@ def with_neighbour(
         .drop("edge")
     )
     return (
-        sliced.withColumn("beside", look(boxed).over(inside))
+        sliced.repartition(tasks, *keys)
+        .withColumn("beside", look(boxed).over(inside))
         .join(beyond, keys, "left")
         .withColumn(out, F.when(belongs, F.coalesce("beside", "beyond")["value"]))
         .select(*df.columns, out)
@@ -175,11 +188,19 @@ def kth_smallest(df: DataFrame, column: str, k: int, sort_limit: int = SORT_LIMI
     return value, values.where(F.col("v") < value).count()
 
 
-def split_position(df: DataFrame, k: int, tie: str, time: str = "event_time", by: str = "symbol"):
+def split_position(
+    df: DataFrame,
+    k: int,
+    tie: str,
+    time: str = "event_time",
+    by: str = "symbol",
+    sort_limit: int = SORT_LIMIT,
+):
     """(symbol, instant in microseconds, tie) of the k-th row in (symbol, time, tie) order.
 
-    Found column by column from counts, so no row changes its place for it. A NULL symbol
-    comes after all others, as a NULL instant does within its symbol.
+    Row counts lead to the symbol. A symbol of up to ``sort_limit`` rows is sorted by its
+    keys, a larger one is narrowed down column by column; no row changes its place for it.
+    A NULL symbol comes after all others, as a NULL instant does within its symbol.
     """
     # one row per symbol: the summary is all that is ranked
     running = F.sum("n").over(
@@ -198,13 +219,16 @@ def split_position(df: DataFrame, k: int, tie: str, time: str = "event_time", by
     rows = df.where(F.col(by).eqNullSafe(F.lit(symbol))).select(
         micros(time).alias("at"), F.col(tie).alias("tie")
     )
+    if n <= sort_limit:
+        last = rows.orderBy(*time_order("tie", "at")).offset(k - 1).limit(1).first()
+        return symbol, last["at"], last["tie"]
     timed = rows.where(F.col("at").isNotNull()).count()
     if k > timed:
         at, k, rows = None, k - timed, rows.where(F.col("at").isNull())
     else:
-        at, below = kth_smallest(rows, "at", k)
+        at, below = kth_smallest(rows, "at", k, sort_limit)
         k, rows = k - below, rows.where(F.col("at") == at)
-    return symbol, at, kth_smallest(rows, "tie", k)[0]
+    return symbol, at, kth_smallest(rows, "tie", k, sort_limit)[0]
 
 
 def at_or_before(

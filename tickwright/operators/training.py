@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tickwright import settings
 from tickwright.functions.prices import with_spread
 from tickwright.operators import ordering
+from tickwright.operators.rows import has_rows
 from tickwright.schemas import FEATURES, TARGET
 
 
@@ -14,11 +15,6 @@ def clean_history(history: DataFrame) -> DataFrame:
     return with_spread(history).dropna()
 
 
-def has_rows(df: DataFrame, n: int) -> bool:
-    """Whether there are at least ``n`` rows; reads no more than it needs."""
-    return df.limit(n).count() >= n
-
-
 def top_up(
     silver: DataFrame, history: DataFrame, min_rows: int = settings.MIN_SILVER_ROWS
 ) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from tickwright.functions.prices import with_spread
 from tickwright.operators.ordering import ROWS_PER_SLICE, with_neighbour
-from tickwright.operators.regression import single_feature
+from tickwright.operators.regression import LinearModel, single_feature
 from tickwright.operators.training import label_next_close, training_rows
-from tickwright.schemas import TARGET, TICK
+from tickwright.schemas import TICK
 from tickwright.sources.payload import DAILY_SOURCE
 
 TIE = "event_id"
@@ -109,12 +109,12 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each half day is a batch.
     """
     frame = with_spread(ticks(spark, sf_dir))
-    line = single_feature(labelled(spark, sf_dir))
-    slope, intercept = line.select("slope").scalar(), line.select("intercept").scalar()
+    line = single_feature(labelled(spark, sf_dir)).first()
+    model = LinearModel(["close"], [line["slope"]], line["intercept"])
     half_days = F.floor(F.unix_seconds("event_time") / 43200).cast("int")
     return frame.select(
         "*",
-        (slope * F.col("close") + intercept).alias("pred_next_close"),
-        F.lit(TARGET).alias("prediction_target"),
+        model.expression().alias("pred_next_close"),
+        F.lit(model.target).alias("prediction_target"),
         half_days.alias("batch_id"),
     )

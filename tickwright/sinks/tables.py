@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwright import settings
+from tickwright.operators.rows import has_rows
 from tickwright.schemas import HISTORY
 from tickwright.sources import files
 from tickwright.sources.tables import (
@@ -59,7 +60,7 @@ def cached_history(
 ) -> DataFrame:
     """The history table at ``path`` if it has ``min_rows`` rows, else built and stored anew."""
     cached = read_tolerant(spark, path, HISTORY)
-    if cached.limit(min_rows).count() >= min_rows:
+    if has_rows(cached, min_rows):
         return cached
     build().select(*HISTORY.fieldNames()).write.mode("overwrite").parquet(path)
     return read_tolerant(spark, path, HISTORY)

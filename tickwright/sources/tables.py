@@ -79,8 +79,8 @@ def read_stats(spark: SparkSession, path: str, n_files: int = settings.LATEST_BA
 def read_stats_changes(spark: SparkSession, path: str) -> DataFrame:
     """Latest statistics of every window from a table of changes.
 
-    Each batch added the windows it changed; the highest batch id wins. The pick is an
-    ordinary aggregate that is reduced before the shuffle.
+    Each batch added the windows it changed, a window once; the highest batch id wins.
+    The pick is a hash aggregate that is reduced before the shuffle.
     """
     if not files.children(spark, path):
         return empty(spark, STATS)
@@ -88,11 +88,7 @@ def read_stats_changes(spark: SparkSession, path: str) -> DataFrame:
     changes = spark.read.schema(tagged).parquet(path)
     keys = ["window_start", "window_end", "symbol"]
     values = [c for c in STATS.fieldNames() if c not in keys]
-    return (
-        changes.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), "batch_id").alias("last"))
-        .select(*keys, "last.*")
-    )
+    return changes.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
 
 
 def read_predictions(
