@@ -87,8 +87,9 @@ def next_close_label(spark: Spark, sf_dir: str) -> DataFrame:
 
 def next_close_label_sliced(spark: Spark, sf_dir: str) -> DataFrame:
     """The same label by way of slices, as a table beyond one slice takes it."""
+    small = 2_500
     frame = training.label_next_close(
-        ticks(spark, sf_dir, rows_per_slice=500), TIE, rows_per_slice=500
+        ticks(spark, sf_dir, rows_per_slice=small), TIE, rows_per_slice=small
     )
     return naive_times(frame.select(TIE, "event_time", "symbol", "close", TARGET))
 
