@@ -185,8 +185,10 @@ def test_payload_days_become_ticks(spark):
     assert first["event_time"] == datetime(2024, 1, 2) and first["symbol"] == "IBM"
     assert (first["close"], first["volume"], first["source"]) == (2.5, 10.0, "alphavantage_daily")
     assert second["close"] is None and second["open"] == 1.0
-    named = payload.flatten_daily(frame, F.lit("XYZ"))
+    nameless = frame.select(F.regexp_replace("payload", "2. Symbol", "x").alias("payload"))
+    named = payload.flatten_daily(nameless, F.lit("XYZ"))
     assert {r["symbol"] for r in named.collect()} == {"XYZ"}
+    assert {r["symbol"] for r in payload.flatten_daily(frame, F.lit("XYZ")).collect()} == {"IBM"}
 
 
 def test_payload_files(spark, path):

@@ -3,10 +3,11 @@
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickwright.operators import evaluation, regression, scoring, training
 from tickwright.schemas import HISTORY, SILVER
-from tickwright.session import build_session, written
+from tickwright.session import build_session, stored
 from tickwright.settings import Settings
 from tickwright.sinks.tables import cached_history, clear_snapshot
 from tickwright.sources import files, logs, payload, tables
@@ -52,14 +53,13 @@ def start_processor(
 def load_history(spark: SparkSession, config: Settings, payloads: str | None) -> DataFrame:
     """Daily history, from the cached table or else from saved payload documents."""
     path = config.table("bootstrap")
+
+    def build() -> DataFrame:
+        documents = payload.read_payloads(spark, payloads)
+        return training.clean_history(payload.flatten_daily(documents, F.lit(config.symbol)))
+
     if payloads:
-        cached_history(
-            spark,
-            path,
-            lambda: training.clean_history(
-                payload.flatten_daily(payload.read_payloads(spark, payloads))
-            ),
-        )
+        cached_history(spark, path, build)
     return tables.read_tolerant(spark, path, HISTORY, ROW_ID)
 
 
@@ -69,7 +69,8 @@ def train_model(spark: SparkSession, config: Settings, payloads: str | None = No
     ticks = training.top_up(silver, load_history(spark, config, payloads))
     labelled = training.label_next_close(ticks, ROW_ID)
     rows = training.training_rows(labelled, keep=[ROW_ID, "event_time", "symbol"])
-    model, measured = regression.train(written(rows, "training"), ROW_ID)
+    with stored(rows, "training") as table:
+        model, measured = regression.train(table, ROW_ID)
     regression.save(spark, model, measured, config.table("models/linear_regression"))
     return measured
 

@@ -12,6 +12,7 @@ from tickwright.operators.training import chrono_split
 from tickwright.schemas import FEATURES, MODEL, TARGET
 
 RANK_TOLERANCE = 1e-12
+STEADY_TOLERANCE = 1e-11
 
 
 @dataclass(frozen=True)
@@ -28,18 +29,18 @@ class LinearModel:
         return reduce(lambda total, term: total + term, terms, F.lit(self.intercept))
 
 
-def least_squares(covariance: np.ndarray, cross: np.ndarray) -> np.ndarray:
+def least_squares(products: np.ndarray, cross: np.ndarray) -> np.ndarray:
     """Coefficients of least norm among those that solve the normal equations.
 
     Works on correlations, so that features of any scale keep their rank, and then takes
     out what lies in the null space of the unscaled features.
     """
     weights = np.zeros(len(cross))
-    varying = np.flatnonzero(np.diag(covariance) > 0)
+    varying = np.flatnonzero(np.diag(products) > 0)
     if not len(varying):
         return weights
-    scale = np.sqrt(np.diag(covariance)[varying])
-    values, vectors = np.linalg.eigh(covariance[np.ix_(varying, varying)] / np.outer(scale, scale))
+    scale = np.sqrt(np.diag(products)[varying])
+    values, vectors = np.linalg.eigh(products[np.ix_(varying, varying)] / np.outer(scale, scale))
     full = values > RANK_TOLERANCE * values[-1]
     basis = vectors[:, full]
     solution = basis @ ((basis.T @ (cross[varying] / scale)) / values[full]) / scale
@@ -53,23 +54,30 @@ def least_squares(covariance: np.ndarray, cross: np.ndarray) -> np.ndarray:
 def fit(train: DataFrame, features: list[str] = FEATURES, target: str = TARGET) -> LinearModel:
     """Ordinary least squares with intercept.
 
-    One pass of mergeable means and covariances; what reaches the driver is a matrix of
-    the features' size. The usual features are collinear (the spread is high minus low),
-    which leaves many best coefficients: the ones of least norm are taken.
+    One pass for the means and one for the products of deviations from them; what reaches
+    the driver is a matrix of the features' size. The usual features are collinear (the
+    spread is high minus low), which leaves many best coefficients: the ones of least norm
+    are taken.
     """
     names = [*features, target]
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
-    moments = train.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
-        *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    found = train.agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)]
     ).first()
-    if moments["m0"] is None:
+    if not found["n"]:
         raise ValueError("no rows to fit")
-    means = np.array([moments[f"m{i}"] for i in range(len(names))])
-    spread = np.zeros((len(names), len(names)))
+    means = np.array([found[f"m{i}"] for i in range(len(names))])
+    deviations = [F.col(c) - F.lit(float(m)) for c, m in zip(names, means)]
+    pairs = list(combinations_with_replacement(range(len(names)), 2))
+    sums = train.agg(
+        *[F.sum(deviations[i] * deviations[j]).alias(f"s{i}_{j}") for i, j in pairs]
+    ).first()
+    products = np.zeros((len(names), len(names)))
     for i, j in pairs:
-        spread[i, j] = spread[j, i] = moments[f"c{i}_{j}"]
-    weights = least_squares(spread[:-1, :-1], spread[:-1, -1])
+        products[i, j] = products[j, i] = sums[f"s{i}_{j}"]
+    # what varies no more than rounding makes it vary is a constant, and gets no weight
+    steady = np.diag(products) <= found["n"] * (STEADY_TOLERANCE * means) ** 2
+    products[steady, :] = products[:, steady] = 0.0
+    weights = least_squares(products[:-1, :-1], products[:-1, -1])
     return LinearModel(
         list(features), weights.tolist(), float(means[-1] - weights @ means[:-1]), target
     )

@@ -2,9 +2,12 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickwright.sources import files
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -61,5 +64,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     outlives lost executors, and later passes read only the columns they need.
     """
     path = scratch(df.sparkSession, name)
+    return _write_and_read(df, path)
+
+
+@contextmanager
+def stored(df: DataFrame, name: str):
+    """``written`` for as long as the block runs; the files go with it."""
+    path = scratch(df.sparkSession, name)
+    try:
+        yield _write_and_read(df, path)
+    finally:
+        files.drop_folder(df.sparkSession, path)
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

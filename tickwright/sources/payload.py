@@ -18,13 +18,12 @@ def flatten_daily(documents: DataFrame, symbol: Column | None = None) -> DataFra
     """Documents to ticks, one per day.
 
     Values are text in the document; what is no number becomes NULL. Documents without a
-    series yield nothing. The symbol comes from ``symbol`` or from the document's header.
+    series yield nothing. ``symbol`` stands in where a document's header names none.
     """
     parsed = documents.withColumn("doc", F.from_json("payload", PAYLOAD))
     named = F.col("doc").getField(PAYLOAD_META).getField(PAYLOAD_SYMBOL)
-    symbol = named if symbol is None else symbol
     days = parsed.select(
-        symbol.alias("symbol"),
+        (named if symbol is None else F.coalesce(named, symbol)).alias("symbol"),
         F.explode(F.col("doc").getField(PAYLOAD_SERIES)).alias("day", "quote"),
     )
     prices = {
