@@ -67,6 +67,14 @@ def test_neighbour_without_symbol_is_one_series(spark):
         assert got == {i: float(i + 1) if i < 49 else None for i in range(50)}
 
 
+def test_rows_without_any_time_are_ordered_by_tie(spark):
+    rows = [(i, None, "A", float(i)) for i in range(60)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = with_neighbour(frame, "close", "near", "tie", rows_per_slice=9)
+    got = {r["tie"]: r["near"] for r in found.collect()}
+    assert got == {i: float(i + 1) if i < 59 else None for i in range(60)}
+
+
 def test_no_slice_outgrows_its_share(spark):
     frame = spark.createDataFrame(skewed_rows(3000), SCHEMA)
     slices = Slices.plan(frame, "tie", rows_per_slice=100)

@@ -105,10 +105,10 @@ def test_stats_fall_back_to_the_newest_part_files(spark, path):
 
 def test_last_change_of_a_window_wins(spark, path):
     assert tables.read_stats_changes(spark, path("changes")).count() == 0
-    sinks.append_changes(stats(spark, 5), path("changes"), 9)
-    sinks.append_changes(stats(spark, 20), path("changes"), 10)
-    sinks.append_changes(stats(spark, 0), path("changes"), 11)
-    sinks.append_changes(stats(spark, 20), path("changes"), 10)
+    sinks.write_batch(stats(spark, 5), path("changes"), 9)
+    sinks.write_batch(stats(spark, 20), path("changes"), 10)
+    sinks.write_batch(stats(spark, 0), path("changes"), 11)
+    sinks.write_batch(stats(spark, 20), path("changes"), 10)
     got = tables.read_stats_changes(spark, path("changes"))
     assert got.columns == STATS.fieldNames()
     assert sorted((r["min_close"], r["n_obs"]) for r in got.collect()) == [(0.0, 10), (10.0, 10)]

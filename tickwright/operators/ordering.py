@@ -78,8 +78,12 @@ class Slices:
             keys = keys.sample(enough / n, seed=1)
         at, ties = keys.approxQuantile(["at", "tie"], shares, 1 / (4 * wanted))
         crowded = sorted({a for a, b in zip(at, at[1:]) if a == b})
-        cuts = sorted({*at, *crowded, *(a + 1 for a in crowded)})
-        return Slices(wanted, tuple(cuts), tuple(sorted(set(ties))), tuple(crowded))
+        # an instant is a whole number of microseconds, so these two cuts hold it alone
+        cuts = sorted({*at, *(a + 1 for a in crowded)})
+        anywhere = (0.0,)  # without any instant there is nothing to cut, but a cut is needed
+        return Slices(
+            wanted, tuple(cuts) or anywhere, tuple(sorted(set(ties))) or anywhere, tuple(crowded)
+        )
 
     def assign(self, df: DataFrame, tie: str, time: str = "event_time") -> DataFrame:
         """Add ``slice_no``, rising with (time, tie): equal plans give equal numbers."""

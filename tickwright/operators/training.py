@@ -51,7 +51,7 @@ def training_rows(labelled: DataFrame, keep: list[str] = ()) -> DataFrame:
     return labelled.select(*keep, *columns).dropna(subset=columns)
 
 
-def chrono_split(rows: DataFrame, tie: str, share: float = settings.TRAIN_SHARE):
+def chrono_split(rows: DataFrame, tie: str, share: float = settings.TRAIN_SHARE, **options):
     """(train, test): the first ``int(share * n)`` rows in (symbol, time, tie) order, the rest.
 
     ``rows`` is read several times, so hand in a stored table. The split itself is a plain
@@ -60,6 +60,6 @@ def chrono_split(rows: DataFrame, tie: str, share: float = settings.TRAIN_SHARE)
     n = rows.count()
     if n < settings.MIN_TRAINING_ROWS:
         raise ValueError(f"{n} labelled rows; at least {settings.MIN_TRAINING_ROWS} are needed")
-    last = ordering.split_position(rows, int(n * share), tie)
+    last = ordering.split_position(rows, int(n * share), tie, **options)
     in_train = ordering.at_or_before(last, tie)
     return rows.where(in_train), rows.where(~in_train)

@@ -125,15 +125,20 @@ def history_cache(spark: Spark, sf_dir: str) -> DataFrame:
     return naive_times(rounded(reused, 4))
 
 
-def chrono_split(spark: Spark, sf_dir: str) -> DataFrame:
+def chrono_split(spark: Spark, sf_dir: str, **options) -> DataFrame:
     """Every labelled row with the part it belongs to."""
     rows = written(labelled(spark, sf_dir), "training")
-    head, tail = training.chrono_split(rows, TIE)
+    head, tail = training.chrono_split(rows, TIE, **options)
     return head.select(TIE, "symbol", F.lit("train").alias("part")).union(
         tail.select(TIE, "symbol", F.lit("test").alias("part"))
     )
 
 
+def chrono_split_narrowed(spark: Spark, sf_dir: str) -> DataFrame:
+    """The same parts by way of quantile sketches, as a large symbol takes it."""
+    return chrono_split(spark, sf_dir, sort_limit=100)
+
+
 # regression
 
 
@@ -320,6 +325,7 @@ QUERIES = {
     "training_topup": training_topup,
     "history_cache": history_cache,
     "chrono_split": chrono_split,
+    "chrono_split_narrowed": chrono_split_narrowed,
     "linreg_single": linreg_single,
     "linreg_train": linreg_train,
     "regression_metrics": regression_metrics,

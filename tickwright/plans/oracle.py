@@ -197,6 +197,7 @@ SELECT event_time, symbol, round(open, 4), round(high, 4), round(low, 4), round(
        volume, source, NULL, round(high - low, 4), NULL FROM daily""",
     "history_cache": f"WITH {DAILY} {HISTORY}",
     "chrono_split": f"WITH {PARTS} SELECT event_id, symbol, part FROM parts",
+    "chrono_split_narrowed": f"WITH {PARTS} SELECT event_id, symbol, part FROM parts",
     "linreg_single": f"""WITH {PREDICTIONS}
 SELECT round(slope, 6) AS slope, round(intercept, 6) AS intercept, n FROM line""",
     "linreg_train": f"""WITH {HEAD_FIT}

@@ -2,7 +2,8 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tickwright import settings
 from tickwright.operators.rows import has_rows
@@ -47,9 +48,19 @@ def clear_snapshot(spark: SparkSession, path: str) -> None:
         files.drop_folder(spark, f"{path}/{name}")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Store the rows of one micro-batch in a folder of its own, replacing an earlier try."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH_PREFIX}{batch_id:08d}")
+def write_batch(df: DataFrame, path: str, batch_id: int) -> int:
+    """Store the rows of one micro-batch in a folder of its own, replacing an earlier try.
+
+    The rows are counted as they are written, and a batch that has none leaves nothing.
+    Returns the number of rows.
+    """
+    folder = f"{path}/{BATCH_PREFIX}{batch_id:08d}"
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+    n = seen.get["n"]
+    if not n:
+        files.drop_folder(df.sparkSession, folder)
+    return n
 
 
 def cached_history(
@@ -64,13 +75,3 @@ def cached_history(
         return cached
     build().select(*HISTORY.fieldNames()).write.mode("overwrite").parquet(path)
     return read_tolerant(spark, path, HISTORY)
-
-
-def append_changes(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add the windows a batch changed to the table of changes; empty batches add nothing."""
-    df = df.persist()
-    try:
-        if not df.isEmpty():
-            write_batch(df, path, batch_id)
-    finally:
-        df.unpersist()

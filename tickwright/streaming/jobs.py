@@ -8,7 +8,7 @@ from tickwright.operators.regression import LinearModel
 from tickwright.operators.scoring import score_ticks
 from tickwright.operators.windows import window_stats
 from tickwright.settings import WATERMARK
-from tickwright.sinks.tables import append_changes, write_batch, write_snapshot
+from tickwright.sinks.tables import write_batch, write_snapshot
 from tickwright.sources.ticks import with_watermark
 from tickwright.streaming.lifecycle import state_settings
 
@@ -58,8 +58,7 @@ def start_bronze_and_silver(
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if not batch.isEmpty():
-                write_batch(batch, bronze, batch_id)
+            if write_batch(batch, bronze, batch_id):
                 write_batch(silver_features(batch), silver, batch_id)
         finally:
             batch.unpersist()
@@ -116,7 +115,7 @@ def start_stats_changes(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        append_changes(batch, path, batch_id)
+        write_batch(batch, path, batch_id)
 
     writer = (
         streaming_stats(ticks, size, slide)
@@ -174,8 +173,7 @@ def start_scoring(
     """Score the ticks and store one folder of predictions per micro-batch."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write_batch(batch, path, batch_id)
+        write_batch(batch, path, batch_id)
 
     scored = score_ticks(with_spread(ticks), model)
     writer = (
