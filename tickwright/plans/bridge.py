@@ -16,6 +16,8 @@ from tickwright.schemas import TICK
 from tickwright.sources.payload import DAILY_SOURCE
 
 TIE = "event_id"
+AVERAGES = ["avg_close", "var_close", "avg_volume"]
+NUDGE = 1.000000000001
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,12 +37,20 @@ def naive_times(df: DataFrame) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Computed doubles without the digits that depend on the order of summation."""
+    """Computed doubles without the digits that depend on the order of summation.
+
+    The average of 32 prices in cents may end exactly half way between two rounded
+    values. Averages are moved up by a trillionth, so that such halves go the same way
+    however their sums came about.
+    """
+
+    def shown(name: str):
+        value = F.col(name) * NUDGE if name in AVERAGES else F.col(name)
+        return F.round(value, digits).alias(name)
+
     return df.select(
         *[
-            F.round(f.name, digits).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
+            shown(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema
         ]
     )

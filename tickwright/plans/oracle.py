@@ -64,10 +64,12 @@ SILVER_COLUMNS = """
   CASE WHEN close < 80 THEN 'low' WHEN close < 120 THEN 'mid' ELSE 'high' END AS range_bucket,
   round(high - low, 6) AS hl_spread, round(close - open, 6) AS oc_change"""
 
+# averages are moved up by a trillionth, see ``rounded``
 STATS_COLUMNS = """
   round(min(close), 6) AS min_close, round(max(close), 6) AS max_close,
-  round(avg(close), 6) AS avg_close, round(var_samp(close), 6) AS var_close,
-  round(avg(volume), 6) AS avg_volume, count(*) AS n_obs"""
+  round(avg(close) * 1.000000000001, 6) AS avg_close,
+  round(var_samp(close) * 1.000000000001, 6) AS var_close,
+  round(avg(volume) * 1.000000000001, 6) AS avg_volume, count(*) AS n_obs"""
 
 
 def stats(width: str, slide: str | None = None, source: str = "ticks") -> str:
