@@ -137,9 +137,20 @@ def test_only_the_newest_batches_are_read(spark, path):
     assert tables.read_predictions(spark, path("p"), None).count() == 10
 
 
+def test_newest_batches_reach_over_groups(spark, path):
+    ids = [0, 7, 998, 999, 1000, 2500]
+    for batch in ids:
+        files.write_text(spark, tables.batch_folder(path("p"), batch) + "/x", "")
+
+    def newest(n):
+        return [int(f[-8:]) for f in tables.newest_batches(spark, path("p"), n)]
+
+    assert newest(1) == [2500] and newest(4) == [998, 999, 1000, 2500] and newest(30) == ids
+
+
 def test_legacy_predictions_are_offered_under_the_new_name(spark, path):
     sinks.write_batch(scored(spark, 2, column="pred_close"), path("p"), 0)
-    files.write_text(spark, path("p/batch_id=00000000/bad.parquet"), "bad")
+    files.write_text(spark, tables.batch_folder(path("p"), 0) + "/bad.parquet", "bad")
     assert [r["pred_next_close"] for r in tables.read_predictions(spark, path("p")).collect()] == [
         1.0,
         1.0,

@@ -179,7 +179,8 @@ def test_batches_without_ticks_write_nothing(spark, path):
     files.write_text(spark, path("in/0"), "")
     finish(jobs.start_scoring(ticks(spark, path("in")), MODEL, path("p"), path("c"), **NOW))
     finish(jobs.start_stats_snapshot(ticks(spark, path("in")), path("s"), path("d"), **NOW))
-    assert files.children(spark, path("p")) == [] and files.children(spark, path("s")) == []
+    assert tables.newest_batches(spark, path("p"), 1) == []
+    assert files.children(spark, path("s")) == []
 
 
 def test_a_failing_batch_ends_the_stream(spark, path):
@@ -219,7 +220,7 @@ def test_checkpoint_choice(spark, path):
     files.write_text(spark, f"{root}/run=000000/metadata", "x")
     assert choose("resume") == "/run=000000"
     assert choose("fresh") == choose("replay_if_empty") == "/run=000001"
-    files.write_text(spark, f"{out}/batch_id=00000000/part.parquet", "x")
+    files.write_text(spark, tables.batch_folder(out, 0) + "/part.parquet", "x")
     assert choose("replay_if_empty") == "/run=000000"
     with pytest.raises(ValueError, match="start option"):
         choose("maybe")

@@ -194,7 +194,9 @@ def latest_batches(spark: Spark, sf_dir: str) -> DataFrame:
 def latest_batch_folders(spark: Spark, sf_dir: str) -> DataFrame:
     """The same rows from stored batches, of which only the newest folders are read."""
     path = scratch(spark, "predictions")
-    predictions(spark, sf_dir).repartition("batch_id").write.partitionBy("batch_id").parquet(path)
+    group = F.floor(F.col("batch_id") / tables.BATCHES_PER_GROUP)
+    stored = predictions(spark, sf_dir).withColumn("batch_group", group).repartition("batch_id")
+    stored.write.partitionBy("batch_group", "batch_id").parquet(path)
     newest = tables.read_predictions(spark, path)
     return naive_times(
         rounded(newest.select("event_time", "symbol", "batch_id", "close", "pred_next_close"), 4)

@@ -10,8 +10,8 @@ from tickwright.operators.rows import has_rows
 from tickwright.schemas import HISTORY
 from tickwright.sources import files
 from tickwright.sources.tables import (
-    BATCH_PREFIX,
     SNAPSHOT_PREFIX,
+    batch_folder,
     read_tolerant,
     snapshot_versions,
 )
@@ -54,7 +54,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> int:
     The rows are counted as they are written, and a batch that has none leaves nothing.
     Returns the number of rows.
     """
-    folder = f"{path}/{BATCH_PREFIX}{batch_id:08d}"
+    folder = batch_folder(path, batch_id)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
     n = seen.get["n"]

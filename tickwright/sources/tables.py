@@ -10,7 +10,9 @@ from tickwright.schemas import PREDICTIONS, SILVER, STATS
 from tickwright.sources import files
 
 SNAPSHOT_PREFIX = "version="
+GROUP_PREFIX = "batch_group="
 BATCH_PREFIX = "batch_id="
+BATCHES_PER_GROUP = 1000
 
 
 def empty(spark: SparkSession, schema: T.StructType, row_id: str | None = None) -> DataFrame:
@@ -59,6 +61,32 @@ def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(found)
 
 
+def batch_folder(path: str, batch_id: int) -> str:
+    """Where a micro-batch is stored: a folder of its own in a folder per thousand batches."""
+    group = batch_id // BATCHES_PER_GROUP
+    return f"{path}/{GROUP_PREFIX}{group:06d}/{BATCH_PREFIX}{batch_id:08d}"
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    names = [name for name, _ in files.children(spark, path) if name.startswith(prefix)]
+    return sorted(names, key=lambda name: int(name[len(prefix) :]))
+
+
+def newest_batches(spark: SparkSession, path: str, n: int) -> list[str]:
+    """Folders of the ``n`` newest batches, oldest first.
+
+    Groups are looked through from the newest on, so however old a stream is, no more
+    than its groups and the batches of the last few of them are listed.
+    """
+    found: list[str] = []
+    for group in reversed(_numbered(spark, path, GROUP_PREFIX)):
+        folder = f"{path}/{group}"
+        found = [f"{folder}/{b}" for b in _numbered(spark, folder, BATCH_PREFIX)] + found
+        if len(found) >= n:
+            break
+    return found[-n:]
+
+
 def read_stats(spark: SparkSession, path: str, n_files: int = settings.LATEST_BATCHES) -> DataFrame:
     """The newest complete snapshot, else the newest ``n_files`` part files, else no rows."""
     versions = snapshot_versions(spark, path)
@@ -82,7 +110,7 @@ def read_stats_changes(spark: SparkSession, path: str) -> DataFrame:
     Each batch added the windows it changed, a window once; the highest batch id wins.
     The pick is a hash aggregate that is reduced before the shuffle.
     """
-    if not files.children(spark, path):
+    if not newest_batches(spark, path, 1):
         return empty(spark, STATS)
     tagged = T.StructType([*STATS.fields, T.StructField("batch_id", T.LongType())])
     changes = spark.read.schema(tagged).parquet(path)
@@ -99,20 +127,17 @@ def read_predictions(
 ) -> DataFrame:
     """Stored predictions of the newest ``n_batches`` batches (None: of all).
 
-    Picks the folders by name, so older batches are neither listed nor read. The columns
-    come from the files, as old ones may only have the prediction's former name.
+    Older batches are not read. The columns come from the files, as old ones may only have
+    the prediction's former name.
     """
-    batches = [name for name, _ in files.children(spark, path) if name.startswith(BATCH_PREFIX)]
-    if not batches:
+    folders = newest_batches(spark, path, n_batches or 1)
+    if not folders:
         return empty(spark, PREDICTIONS, row_id)
-    batches.sort(key=lambda name: int(name[len(BATCH_PREFIX) :]))
-    if n_batches is not None:
-        batches = batches[-n_batches:]
     stored = (
         spark.read.option("basePath", path)
         .option("mergeSchema", True)
         .option("ignoreCorruptFiles", True)
-        .parquet(*[f"{path}/{name}" for name in batches])
+        .parquet(*(folders if n_batches else [path]))
     )
     table = unify_prediction(_with_row_id(stored, row_id))
     wanted = [

@@ -5,6 +5,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 from tickwright.sources import files
+from tickwright.sources.tables import newest_batches
 
 # Class names of the two state stores that come with Spark.
 STATE_STORES = {
@@ -41,7 +42,7 @@ def checkpoint_path(
     """The checkpoint a stream should start on; runs are numbered below ``root``.
 
     ``resume`` goes on with the last run, ``fresh`` opens a new one, ``replay_if_empty``
-    opens a new one when the last run left nothing in ``output``. Old runs are left alone.
+    opens a new one when no batch is stored in ``output``. Old runs are left alone.
     """
     if on_start not in ON_START:
         raise ValueError(f"unknown start option: {on_start}")
@@ -49,8 +50,7 @@ def checkpoint_path(
     last = max(runs, default=0)
     renew = on_start == "fresh"
     if on_start == "replay_if_empty":
-        stored = [n for n, _ in files.children(spark, output) if not n.startswith(("_", "."))]
-        renew = not stored
+        renew = not newest_batches(spark, output, 1)
     if renew and runs:
         last += 1
     return f"{root}/run={last:06d}"
