@@ -94,7 +94,11 @@ def main() -> None:
     rates = {}
     for name, start in starts.items():
         stream_rate(start())
-        seconds[name] = timed(lambda name=name, start=start: rates.update({name: stream_rate(start())}))
+
+        def measured(name=name, start=start):
+            rates[name] = stream_rate(start())
+
+        seconds[name] = timed(measured)
 
     print(
         json.dumps(

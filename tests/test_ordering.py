@@ -116,7 +116,9 @@ def test_kth_smallest(spark, sort_limit):
         assert below == sum(v < value for v in ranked)
 
 
-@pytest.mark.parametrize(("k", "sort_limit"), [(1, 10), (500, 10), (500, 900), (720, 10), (900, 900)])
+@pytest.mark.parametrize(
+    ("k", "sort_limit"), [(1, 10), (500, 10), (500, 900), (720, 10), (900, 900)]
+)
 def test_position_cuts_exactly(spark, k, sort_limit):
     rows = skewed_rows()
     frame = spark.createDataFrame(rows, SCHEMA)

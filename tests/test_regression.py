@@ -85,6 +85,13 @@ def test_fit_without_rows_is_an_error(spark):
         regression.fit(spark.createDataFrame([], SCHEMA))
 
 
+def test_infinite_values_are_an_error(spark):
+    rows = tick_like(20)
+    rows[3] = (*rows[3][:7], float("inf"), *rows[3][8:])
+    with pytest.raises(ValueError, match="infinite"):
+        regression.fit(spark.createDataFrame(rows, SCHEMA))
+
+
 def test_metrics_by_hand(spark):
     frame = spark.createDataFrame([(1.0, 2.0), (5.0, 2.0)], f"{TARGET} double, prediction double")
     row = regression.metrics(frame).first()

@@ -102,7 +102,8 @@ def test_histogram(spark, misses, bins):
 
 
 def test_latest_batches_by_id(spark):
-    frame = spark.createDataFrame([(b, v) for b in range(40) for v in (1, 2)], "batch_id int, v int")
+    rows = [(b, v) for b in range(40) for v in (1, 2)]
+    frame = spark.createDataFrame(rows, "batch_id int, v int")
     got = evaluation.latest_batches(frame)
     assert sorted({r["batch_id"] for r in got.collect()}) == list(range(10, 40))
     assert got.count() == 60

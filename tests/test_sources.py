@@ -189,7 +189,8 @@ def test_payload_days_become_ticks(spark):
         },
         {"Information": "no series here"},
     ]
-    frame = spark.createDataFrame([(json.dumps(d),) for d in documents] + [("junk",)], "payload string")
+    texts = [json.dumps(d) for d in documents] + ["junk"]
+    frame = spark.createDataFrame([(t,) for t in texts], "payload string")
     got = payload.flatten_daily(frame).orderBy("event_time")
     assert got.columns == TICK.fieldNames()
     first, second = got.collect()

@@ -74,6 +74,8 @@ def fit(train: DataFrame, features: list[str] = FEATURES, target: str = TARGET)
     products = np.zeros((len(names), len(names)))
     for i, j in pairs:
         products[i, j] = products[j, i] = sums[f"s{i}_{j}"]
+    if not np.isfinite(products).all():
+        raise ValueError("features or target hold infinite values")
     # what varies no more than rounding makes it vary is a constant, and gets no weight
     steady = np.diag(products) <= found["n"] * (STEADY_TOLERANCE * means) ** 2
     products[steady, :] = products[:, steady] = 0.0

@@ -13,6 +13,8 @@ ticks AS (
   )
 )"""
 
+TICK_COLUMNS = "event_time, symbol, open, high, low, close, volume, source"
+
 LABELLED = f"""{TICKS},
 labelled AS (
   SELECT * FROM (
@@ -273,9 +275,8 @@ SELECT ts AS timestamp_utc, event_type AS command,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS return_code
 FROM events ORDER BY ts DESC, event_type DESC LIMIT 6""",
     "human_bytes": HUMAN_BYTES,
-    "stream_source_json": f"WITH {TICKS} SELECT symbol, event_time FROM ticks",
-    "stream_bronze_append": f"""WITH {TICKS}
-SELECT event_time, symbol, open, high, low, close, volume, source FROM ticks""",
+    "stream_source_json": f"WITH {TICKS} SELECT {TICK_COLUMNS} FROM ticks",
+    "stream_bronze_append": f"WITH {TICKS} SELECT {TICK_COLUMNS} FROM ticks",
     "stream_silver_append": f"WITH {TICKS} {SILVER}",
     "stream_window_stats_complete": f"WITH {TICKS} {stats('1 hour')}",
     "stream_window_stats_update": f"WITH {TICKS} {stats('1 hour')}",

@@ -3,13 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwright.functions.ticks import parse_ticks
 from tickwright.operators import regression
 from tickwright.plans.bridge import labelled, naive_times, plain_ticks, rounded
-from tickwright.schemas import SILVER, STATS, TICK
+from tickwright.schemas import STATS, TICK
 from tickwright.session import scratch
 from tickwright.sinks.messages import publish
 from tickwright.sources import logs, tables
-from tickwright.sources.ticks import tick_stream
+from tickwright.sources.ticks import message_stream, tick_stream
 from tickwright.streaming import jobs, progress
 
 Spark = SparkSession
@@ -30,18 +31,21 @@ def finish(query) -> None:
         raise TimeoutError(f"stream {query.name} did not end")
 
 
-def _run(start, spark: Spark, sf_dir: str, *args, **options) -> str:
+def _run(start, spark: Spark, sf_dir: str, **options) -> str:
     """Run one of the jobs over all messages and return the path of its output."""
     ticks = tick_stream(spark, "json", published(spark, sf_dir))
-    out = scratch(spark, "output")
-    finish(start(ticks, *args, out, scratch(spark, "checkpoint"), trigger=jobs.AVAILABLE_NOW, **options))
+    out, checkpoint = scratch(spark, "output"), scratch(spark, "checkpoint")
+    finish(start(ticks, out, checkpoint, trigger=jobs.AVAILABLE_NOW, **options))
     return out
 
 
 def stream_source_json(spark: Spark, sf_dir: str) -> DataFrame:
-    """Messages stored as they are, parsed again by the batch function."""
-    path = _run(jobs.start_bronze, spark, sf_dir)
-    return naive_times(tables.read_tolerant(spark, path, TICK).select("symbol", "event_time"))
+    """Messages stored unparsed by a stream, then parsed by the same function in a batch."""
+    messages = message_stream(spark, "json", published(spark, sf_dir))
+    out = scratch(spark, "raw")
+    writer = messages.writeStream.format("parquet").trigger(**jobs.AVAILABLE_NOW)
+    finish(writer.option("checkpointLocation", scratch(spark, "checkpoint")).start(out))
+    return naive_times(parse_ticks(spark.read.schema("value string").parquet(out)))
 
 
 def stream_bronze_append(spark: Spark, sf_dir: str) -> DataFrame:
@@ -78,8 +82,8 @@ def stream_score(spark: Spark, sf_dir: str) -> DataFrame:
     """Predictions of a model trained on the same ticks."""
     model = regression.fit(labelled(spark, sf_dir))
     ticks = tick_stream(spark, "json", published(spark, sf_dir))
-    out = scratch(spark, "predictions")
-    finish(jobs.start_scoring(ticks, model, out, scratch(spark, "checkpoint"), trigger=jobs.AVAILABLE_NOW))
+    out, checkpoint = scratch(spark, "predictions"), scratch(spark, "checkpoint")
+    finish(jobs.start_scoring(ticks, model, out, checkpoint, trigger=jobs.AVAILABLE_NOW))
     stored = tables.read_predictions(spark, out)
     view = stored.select("event_time", "symbol", "close", "pred_next_close", "prediction_target")
     return naive_times(rounded(view, 3))
