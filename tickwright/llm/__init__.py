@@ -1 +1,8 @@
 """Operators and the pipeline for training data; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in Python workers travel with their code: executors need no copy of it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,11 +1,22 @@
 """Small helpers of the operators: missing columns, row keys, tables that cut lineage."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwright.session import scratch, shared_root, written
 
-__all__ = ["documents", "fanout", "fresh", "remainder", "scratch", "shared_root", "table", "written"]
+__all__ = [
+    "address",
+    "documents",
+    "fanout",
+    "fresh",
+    "keep_addressed",
+    "remainder",
+    "scratch",
+    "shared_root",
+    "table",
+    "written",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,3 +51,29 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def address(doc_id: Column | str, sha: Column | str) -> Column:
+    """Where a document is: its text's digest and its id. Rows with both equal are repeats."""
+    doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.concat_ws(":", sha, F.coalesce(doc_id.cast("string"), F.lit("null")))
+
+
+def text_sha(text: Column | str) -> Column:
+    """SHA-256 of a text in UTF-8; NULL counts as empty."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def keep_addressed(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows of ``docs`` at the addresses ``marks.address``, of repeated rows one each.
+
+    ``marks`` holds no address twice. Texts move once: the ranks among repeats use the
+    partitioning of the join.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    at, number = fresh(docs, "address"), fresh(docs, "number")
+    rows = docs.withColumn(at, address("doc_id", text_sha("text")))
+    stay = rows.join(marks.select(F.col("address").alias(at)), at, "left_semi")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rank = F.row_number().over(Window.partitionBy(at).orderBy(*others))
+    return stay.withColumn(number, rank).filter(F.col(number) == 1).select(*columns)

@@ -12,10 +12,10 @@ not, naming would begin again with other keys.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwright.llm.common import documents, fresh, written
+from tickwright.llm.common import address, documents, keep_addressed, text_sha, written
 
 BLOCK_BYTES = 2048
 
@@ -82,7 +82,7 @@ def exact_dedup(
         texts.select(
             F.monotonically_increasing_id().alias("row"),
             "id",
-            F.sha2("text", 256).alias("text_sha256"),
+            text_sha("text").alias("text_sha256"),
             F.transform(_blocks(F.col("text"), block_bytes), lambda b: key(b, seed)).alias("keys"),
         ),
         "digests",
@@ -152,19 +152,7 @@ def _paired(sequences: DataFrame) -> DataFrame:
     return _sequences(rows.join(names, ["left", "right"]).select("row", "at", "name"))
 
 
-def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; of rows equal in id and text one stays."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    address = fresh(docs, "address")
-    number = fresh(docs, "number")
-    marks = exact_dedup(docs).filter("kept").select(_address("text_sha256").alias(address))
-    rows = docs.withColumn(address, _address(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    stay = rows.join(marks, address, "left_semi")
-    # partitioned as the join has left the rows, so that texts move once
-    rank = Window.partitionBy(address).orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    return stay.withColumn(number, F.row_number().over(rank)).filter(F.col(number) == 1).select(*columns)
-
-
-def _address(sha: Column | str) -> Column:
-    """Where a row is: its text's digest and its id."""
-    return F.concat_ws(":", sha, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+def last_of_each(docs: DataFrame) -> DataFrame:
+    """The documents that stay, all their columns; of rows equal in id and text one stays."""
+    kept = exact_dedup(docs).filter("kept")
+    return keep_addressed(docs, kept.select(address("doc_id", "text_sha256").alias("address")))

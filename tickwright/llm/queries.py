@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup
+from tickwright.llm import exact_dedup, simhash
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -13,8 +13,14 @@ def op3_exact_dedup(spark: Spark, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash_near_dedup(spark: Spark, sf_dir: str) -> DataFrame:
+    found = simhash.near_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 ORACLES = {
