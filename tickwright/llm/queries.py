@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, simhash
+from tickwright.llm import exact_dedup, language_id, simhash
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -18,9 +18,14 @@ def op8_simhash_near_dedup(spark: Spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op9_language_id(spark: Spark, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES = {
