@@ -3,12 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, language_id, simhash
+from tickwright.llm import exact_dedup, language_id, packing, simhash
 from tickwright.llm.common import table
 
 Spark = SparkSession
 
 
+def op2_best_fit_packing(spark: Spark, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: Spark, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op9_language_id(spark: Spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
