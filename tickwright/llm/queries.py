@@ -3,12 +3,17 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, language_id, packing, simhash
+from tickwright.llm import exact_dedup, language_id, mixing, packing, simhash
 from tickwright.llm.common import table
 
 Spark = SparkSession
 
 
+def op1_temperature_mixing(spark: Spark, sf_dir: str) -> DataFrame:
+    """The mixed order of all documents: entropy 0.97 of the highest, two passes at most."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: Spark, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,7 @@ def op9_language_id(spark: Spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_temperature_mixing": op1_temperature_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
@@ -34,6 +40,72 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_temperature_mixing": """
+        WITH RECURSIVE
+        docs AS (
+            SELECT doc_id, source, len(regexp_extract_all(text, '[^ \\t\\n\\r]+')) AS tokens,
+                   md5('mix:' || doc_id::VARCHAR) AS key
+            FROM documents
+        ),
+        sources AS (SELECT source, sum(tokens)::BIGINT AS tokens FROM docs GROUP BY source),
+        total AS (SELECT sum(tokens)::BIGINT AS n, count(*) AS sources FROM sources),
+        shares AS (SELECT source, tokens, tokens::DOUBLE / n AS share FROM sources, total),
+        bisect(step, low, high) AS (
+            SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+            UNION ALL
+            SELECT step + 1,
+                   CASE WHEN fits THEN low ELSE (low + high) / 2 END,
+                   CASE WHEN fits THEN (low + high) / 2 ELSE high END
+            FROM (
+                SELECT step, low, high,
+                       ln(sum(pow(share, (low + high) / 2)))
+                         - (low + high) / 2 * sum(pow(share, (low + high) / 2) * ln(share))
+                           / sum(pow(share, (low + high) / 2)) <= 0.97 * ln(count(*)) + 1e-12
+                       AND max(pow(share, (low + high) / 2 - 1)) / min(pow(share, (low + high) / 2 - 1))
+                           <= 2.0 AS fits
+                FROM bisect, shares
+                WHERE step < 20
+                GROUP BY step, low, high
+            )
+        ),
+        alpha AS (SELECT high AS a FROM bisect WHERE step = 20),
+        norm AS (
+            SELECT a, sum(pow(share, a)) AS norm, max(pow(share, 1 - a)) AS most
+            FROM shares, alpha GROUP BY a
+        ),
+        plan AS (
+            SELECT source, tokens AS total, round(pow(share, a) / norm * (n * norm * most))::BIGINT AS quota
+            FROM shares, norm, total
+        ),
+        grouped AS (
+            SELECT source, key, sum(tokens)::BIGINT AS tokens FROM docs GROUP BY source, key
+        ),
+        running AS (
+            SELECT source, key, tokens,
+                   (sum(tokens) OVER (PARTITION BY source ORDER BY key) - tokens)::BIGINT AS before
+            FROM grouped
+        ),
+        passes AS (
+            SELECT r.*, total, quota,
+                   quota // total
+                     + (tokens > 0 AND before + tokens <= quota - quota // total * total)::BIGINT AS n
+            FROM running r JOIN plan USING (source)
+        ),
+        blocks AS (SELECT greatest(1, ceil(sum(quota) / 1000000.0))::BIGINT AS n FROM plan),
+        copies AS (
+            SELECT source, key, c.copy,
+                   least(floor((c.copy * total + before) / greatest(quota, 1) * blocks.n), blocks.n - 1)::BIGINT
+                     AS block
+            FROM passes, blocks, (SELECT unnest(range(0, 100)) AS copy) c
+            WHERE c.copy < passes.n
+        )
+        SELECT doc_id, source, tokens, copy, block,
+               row_number() OVER (
+                   PARTITION BY block
+                   ORDER BY md5('mix:' || key || ':' || source || ':' || copy::VARCHAR), tokens
+               ) AS position
+        FROM docs JOIN copies USING (source, key)
+    """,
     "op3_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
