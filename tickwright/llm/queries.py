@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, language_id, mixing, packing, simhash
+from tickwright.llm import exact_dedup, language_id, mixing, packing, simhash, warc
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -22,6 +22,10 @@ def op3_exact_dedup(spark: Spark, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: Spark, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash_near_dedup(spark: Spark, sf_dir: str) -> DataFrame:
     found = simhash.near_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -35,6 +39,7 @@ QUERIES = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
 }
