@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, language_id, mixing, packing, simhash, warc
+from tickwright.llm import exact_dedup, knn, language_id, mixing, packing, simhash, warc
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -35,6 +35,10 @@ def op9_language_id(spark: Spark, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_voronoi_top_k(spark: Spark, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -42,9 +46,29 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
+    "op10_voronoi_top_k": op10_voronoi_top_k,
 }
 
 ORACLES = {
+    "op10_voronoi_top_k": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+                   list_inner_product(q.v, d.v)::BIGINT AS score
+            FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id
+            WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id,
+               row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id, score
+        FROM scored
+        QUALIFY rank <= 10
+    """,
     "op1_temperature_mixing": """
         WITH RECURSIVE
         docs AS (
