@@ -1,5 +1,8 @@
 """Small helpers of the operators: missing columns, row keys, tables that cut lineage."""
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ __all__ = [
     "remainder",
     "scratch",
     "shared_root",
+    "slices",
     "table",
     "written",
 ]
@@ -77,3 +81,9 @@ def keep_addressed(docs: DataFrame, marks: DataFrame) -> DataFrame:
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rank = F.row_number().over(Window.partitionBy(at).orderBy(*others))
     return stay.withColumn(number, rank).filter(F.col(number) == 1).select(*columns)
+
+
+def slices(frame: pd.DataFrame, rows: int = 10_000) -> Iterator[pd.DataFrame]:
+    """A frame in parts of so many rows; an empty one as it is."""
+    for at in range(0, max(1, len(frame)), rows):
+        yield frame.iloc[at : at + rows]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tickwright.llm.common import documents, fresh, remainder
+from tickwright.llm.common import documents, fresh, remainder, slices
 
 UNKNOWN = "und"
 
@@ -81,7 +81,8 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
                     part = pd.Series(n, keys)
                     sums[lang] = part if lang not in sums else sums[lang].add(part, fill_value=0)
         for lang, part in sums.items():
-            yield pd.DataFrame({"lang": lang, "gram": part.index.astype("int32"), "n": part.astype("int64")})
+            grams, n = part.index.astype("int32"), part.astype("int64")
+            yield from slices(pd.DataFrame({"lang": lang, "gram": grams, "n": n}))
 
     partial = docs.select("lang", "text").mapInPandas(counted, "lang string, gram int, n long")
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwright.llm.common import documents, written
+from tickwright.llm.common import documents, slices, written
 
 CAPACITY = 1024
 END = 2
@@ -115,8 +115,7 @@ def _pieces_of(path: str, capacity: int, carry: int, keep_ids: bool):
         out["open"] = still_open(fills, capacity, carry)[place]
         if keep_ids:
             out["ids"] = tokens
-        for at in range(0, len(out), 10_000):
-            yield out.iloc[at : at + 10_000]
+        yield from slices(out)
 
     return packed
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, knn, language_id, mixing, packing, simhash, url_filter, warc
+from tickwright.llm import exact_dedup, knn, language_id, mixing, packing, simhash, toxicity, url_filter, warc
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -22,6 +22,10 @@ def op3_exact_dedup(spark: Spark, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: Spark, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_url_association_rules(spark: Spark, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_url_association_rules": op5_url_association_rules,
     "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
