@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, knn, language_id, mixing, packing, simhash, toxicity, url_filter, warc
+from tickwright.llm import exact_dedup, knn, language_id, mixing, packing, quality, simhash, toxicity, url_filter, warc
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -30,6 +30,10 @@ def op5_url_association_rules(spark: Spark, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op6_quality_perplexity(spark: Spark, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_warc(spark: Spark, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_url_association_rules": op5_url_association_rules,
+    "op6_quality_perplexity": op6_quality_perplexity,
     "op7_warc": op7_warc,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
