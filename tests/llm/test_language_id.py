@@ -1,0 +1,76 @@
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import MIDDLE, read, rows
+from tickwright.llm import language_id
+
+
+def test_held_out_accuracy(spark):
+    docs = read(spark, MIDDLE, "documents")
+    found = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id")
+    right = found.groupBy("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*"))
+    assert all(share > 0.99 and n > 200 for _, share, n in right.collect())
+    assert found.filter("score < 0 or score > 1").isEmpty()
+    assert found.filter("rejected").count() <= 5
+
+
+def test_probabilities_of_a_context_sum_to_one(spark):
+    texts = ["the other then them", "hat heat that the", "tea eat ate"]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    model = language_id.train(docs)
+    letters = {0, *(ord(c) + 1 for c in "abcdefghijklmnopqrstuvwxyz")}
+    import numpy as np
+
+    for context in ("th", "he", "zz"):
+        two, one = (ord(c) + 1 for c in context)
+        grams = np.array([two << 16 | one << 8 | s for s in range(256)])
+        assert np.exp(model.log_probability(grams)[:, 0].astype(float)).sum() == pytest.approx(1, abs=0.02)
+    assert len(letters) == 27
+
+
+def test_trigram_counts(spark):
+    text = "Aé, a-b\n aé"
+    words = ["aé", "a", "b", "aé"]
+    expected = Counter()
+    for word in words:
+        symbols = [0, 0, *(ord(c) % 251 + 1 for c in word), 0]
+        for i in range(2, len(symbols)):
+            expected[symbols[i - 2] << 16 | symbols[i - 1] << 8 | symbols[i]] += 1
+    docs = spark.createDataFrame([("x", text)], "lang string, text string")
+    assert {r.gram: r.n for r in language_id.count_trigrams(docs).collect()} == dict(expected)
+
+
+def test_pieces_of_long_texts_lose_nothing(monkeypatch):
+    text = "one two  three four five six seven"
+    whole = sorted(language_id.trigrams([text])[0].tolist())
+    monkeypatch.setattr(language_id, "_PIECE", 7)
+    parts = [t for batch in language_id._pieces([text, None, ""]) for _, t in batch]
+    assert sorted(g for p in parts for g in language_id.trigrams([p])[0].tolist()) == whole
+
+
+def test_nulls_no_letters_and_strangers(spark):
+    learned = [(i * 3, "the cat and the dog of the house " * 5, "en") for i in range(20)]
+    learned += [(100 + i, "el gato y la casa de los perros " * 5, "es") for i in range(20)]
+    odd = [(None, "", None), (501, None, "de"), (501, "123 !", None), (503, "zqx jkv qqq wxz " * 20, None)]
+    docs = spark.createDataFrame(learned + odd, "doc_id long, text string, lang string").withColumns(
+        {"judged": F.lit(1), "score": F.lit("s"), "rejected": F.lit("no")}
+    )
+    found = {(r.doc_id, r.cross_entropy is None): r for r in language_id.identify(docs).filter(
+        "doc_id is null or doc_id > 500").collect()}
+    for key in ((None, True), (501, True)):
+        assert (found[key].lang_pred, found[key].score, found[key].rejected) == ("und", 0.0, True)
+    assert found[503, False].rejected and found[503, False].lang_pred in ("en", "es")
+    kept = language_id.recognised(docs)
+    assert kept.columns == docs.columns and kept.count() == 40
+    assert math.isclose(found[503, False].score, found[503, False].score)
+
+
+def test_empty_table_and_no_labels(spark):
+    docs = spark.createDataFrame([(1, "abc", None), (1, "abc", None)], "doc_id long, text string, lang string")
+    assert language_id.identify(docs.limit(0)).count() == 0
+    assert rows(language_id.identify(docs), "doc_id", "lang_pred", "score", "rejected") == [
+        (1, "und", 0.0, True)
+    ] * 2

@@ -1,0 +1,68 @@
+"""The stages by brute force on the smallest tables, and on odd rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tests.llm.helpers import SMALL, read, rows
+from tests.llm.test_simhash import brute_components, plain_fingerprint
+from tickwright.llm import language_id
+from tickwright.session import written
+
+
+@pytest.fixture(scope="module")
+def outputs(spark):
+    docs, found = read(spark, SMALL, "documents"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SMALL), name)
+        found[name] = docs
+    return found
+
+
+def test_stages_keep_the_columns_of_documents(spark, outputs):
+    columns = read(spark, SMALL, "documents").columns
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert outputs[name].columns == columns
+
+
+def test_language_stage_drops_what_is_rejected(spark, outputs):
+    docs = read(spark, SMALL, "documents")
+    rejected = language_id.identify(docs).filter("rejected").select("doc_id")
+    assert rows(outputs["language_id"]) == rows(docs.join(rejected, "doc_id", "left_anti").select(docs.columns))
+
+
+def test_exact_stage(outputs):
+    given = outputs["language_id"].select("doc_id", "text").collect()
+    last = {r.text: r.doc_id for r in sorted(given)}
+    assert rows(outputs["exact_dedup"], "doc_id") == [(i,) for i in sorted(last.values())]
+
+
+def test_near_stage(outputs):
+    given = outputs["exact_dedup"].select("doc_id", "text").collect()
+    least = brute_components([plain_fingerprint(r.text) for r in given], [r.doc_id for r in given])
+    assert rows(outputs["simhash_near_dedup"], "doc_id") == [(i,) for i in sorted(set(least))]
+
+
+def test_mixing_stage_keeps_every_document(outputs):
+    before, after = outputs["simhash_near_dedup"], outputs["temperature_mixing"]
+    assert rows(after.distinct()) == rows(before.distinct())
+    assert after.groupBy("doc_id").count().filter("count > 2").isEmpty()
+
+
+def test_packing_stage_packs_every_copy(outputs):
+    copies = outputs["temperature_mixing"].groupBy("doc_id").count()
+    first = outputs["best_fit_packing"].filter("piece = 0").groupBy("doc_id").count()
+    assert rows(first) == rows(copies)
+    used = outputs["best_fit_packing"].groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    assert used.filter("n > 1024").isEmpty()
+
+
+def test_odd_rows_and_empty_tables(spark):
+    learned = [(i * 3, f"the cat and the dog of house {i} " * 5, "en", "s", 1) for i in range(12)]
+    odd = [(None, None, None, None, None), (None, "", "en", None, 0), (7, "the cat " * 9, "en", None, None)] * 2
+    spec = "doc_id long, text string, lang string, source string, n_chars long"
+    for docs in (spark.createDataFrame(learned + odd, spec), spark.createDataFrame([], spec)):
+        docs = docs.withColumn("address", F.lit("more"))
+        for name, stage in corpus_pipeline.STAGES:
+            docs = written(stage(spark, docs, SMALL), name)
+    assert docs.count() == 0

@@ -1,0 +1,82 @@
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import SMALL, read, rows
+from tickwright.llm import warc
+
+SHOWN = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def expected(pages):
+    first = {}
+    for page, html in pages:
+        if page is not None:
+            first[html or ""] = min(first.get(html or "", page), page)
+    out = []
+    for page, html in pages:
+        data, least = (html or "").encode(), first.get(html or "")
+        revisit = least is not None and page != least
+        kind = "revisit" if revisit else "response"
+        out.append((page, len(data), warc.digest(data), kind, least if revisit else None))
+    return sorted(out, key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def test_pages(spark):
+    pages = read(spark, SMALL, "pages")
+    copies = pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 100_000))
+    given = [(r.page_id, r.html) for r in copies.collect()]
+    assert rows(warc.round_trip(copies, archive_bytes=50_000), *SHOWN) == expected(given)
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    cases = [(1, "hé"), (None, "hé"), (3, None), (3, ""), (2, "hé"), (None, "z"), (None, "z"), (5, "y" * 200_000)]
+    pages = spark.createDataFrame(cases, "page_id long, html string").withColumns(
+        {"url": F.lit("http://x/ é\r\nWARC-Type: y"), "sha": F.lit(1), "first": F.lit(2), "size": F.lit(3)}
+    )
+    assert rows(warc.round_trip(pages, archive_bytes=300), *SHOWN) == expected(cases)
+    assert warc.round_trip(pages.limit(0)).count() == 0
+    small = warc.round_trip(pages, min_bytes=4)
+    assert small.filter("record_type = 'revisit'").isEmpty()
+
+
+def test_payloads_come_back(spark, path):
+    pages = spark.createDataFrame([(1, "u", "a\r\n\r\nb"), (2, None, "")], "page_id long, url string, html string")
+    listed = warc.write_archives(pages, path("warc"))
+    assert listed.agg(F.sum("pages")).first()[0] == 2
+    found = warc.read_archives(spark, path("warc"), payload=True)
+    assert rows(found, "page_id", "target_uri", "payload") == [("1", "u", "a\r\n\r\nb"), ("2", None, "")]
+
+
+def record():
+    return warc.page_record("7", "http://x/", b"payload" * 30_000, None)
+
+
+def test_reader_takes_one_member_after_the_other():
+    data = warc._opening() + record() + warc.page_record("8", None, b"payload", "7")
+    kinds = [fields["warc-type"] for fields, _ in warc.records(data)]
+    assert kinds == ["warcinfo", "response", "revisit"]
+    pages = [warc.page_of(*r) for r in warc.records(data)]
+    assert pages[0] is None and pages[2][2] == 7 and pages[2][5] == "7"
+
+
+def repacked(change):
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(change(zlib.decompress(record(), 31))) + packer.flush()
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        record()[:-20],
+        record() + b"rubbish that is no member",
+        repacked(lambda d: d.replace(b"payload", b"payloaD", 1)),
+        repacked(lambda d: d[:-4]),
+        repacked(lambda d: d.replace(b"WARC/1.1", b"WARC/9.9")),
+        repacked(lambda d: d.replace(b"Content-Length: 21", b"Content-Length: 22", 1)),
+    ],
+)
+def test_damage_is_an_error(data):
+    with pytest.raises(warc.BadRecord):
+        [warc.page_of(*r) for r in warc.records(data)]

@@ -20,8 +20,9 @@ from tickwright.llm.common import documents, written
 
 TOP = 10
 SCALE = 1024
-#: Pivots; their vectors, radii and k + 1 distances each are all the driver sees.
-PIVOTS = 16
+#: Pivots, and how many vectors are drawn for each to choose them from. These, and each pivot's
+#: radius and k + 1 distances, are all the driver sees.
+PIVOTS, DRAWN = 16, 64
 #: Vectors and queries that one task compares.
 DATA_BLOCK, QUERY_BLOCK = 20_000, 1_000
 
@@ -59,6 +60,15 @@ def _distances(x: np.ndarray, extra: np.ndarray, pivots: np.ndarray) -> np.ndarr
     return np.sqrt(np.maximum(square, 0))
 
 
+def spread_out(x: np.ndarray, number: int) -> np.ndarray:
+    """So many of the vectors, each the farthest from those chosen before it."""
+    chosen, far = [0], ((x - x[0]) ** 2).sum(1)
+    while len(chosen) < number and far.max() > 0:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, ((x - x[chosen[-1]]) ** 2).sum(1))
+    return x[chosen]
+
+
 class Cells:
     """The pivots and what the summaries say about their cells."""
 
@@ -176,8 +186,8 @@ def top_k(
     if width is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     # a bounded sample drawn by a hash of the ids
-    drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(pivots).toPandas()
-    cells = Cells(_matrix(drawn["vec"], width), largest)
+    drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(DRAWN * pivots).toPandas()
+    cells = Cells(spread_out(_matrix(drawn["vec"], width), pivots), largest)
     queries = _assigned(vectors.filter(F.col("id") % every == 0), cells, of_queries=True)
     queries = written(queries, "queries")
     groups = queries.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n"))
