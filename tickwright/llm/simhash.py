@@ -1,10 +1,10 @@
 """Near duplicates by SimHash fingerprints and a self-join of their binary trie.
 
-The fingerprints are the leaves of a binary trie. The join starts with the pair (root, root)
-and goes down: a pair of nodes becomes the pairs of their children, each with the bits in which
-the two prefixes differ so far, and is dropped once these exceed the budget. Pairs of large
-nodes are taken apart as tables, four levels a round; a pair whose nodes are both small is
-traversed in one task. Links come back as a spanning forest of what a task has found, so that
+The fingerprints are the leaves of a binary trie. The join starts with the root paired with
+itself and goes down: a pair of nodes becomes the pairs of their children, each with the bits
+in which the two prefixes differ so far, and is dropped once these exceed the budget. Pairs of
+large nodes are taken apart as tables, four levels a round; a pair whose nodes are both small
+is traversed in one task. Links come back as a spanning forest of what a task has found, so that
 a crowd of copies gives as many rows as it has fingerprints, and stars of alternating rounds
 turn the links into components.
 """
@@ -64,7 +64,7 @@ def fingerprint(text: Column | str, shingle: int = SHINGLE) -> Column:
 
 
 def _prefix(value: Column, depth: int) -> Column:
-    return F.shiftrightunsigned(value, 64 - depth) if depth else F.lit(0).cast("long")
+    return F.shiftrightunsigned(value, 64 - depth)
 
 
 def _children(distance: int) -> Column:
@@ -83,8 +83,14 @@ def _children(distance: int) -> Column:
 def node_pairs(nodes: DataFrame, distance: int, leaf: int) -> list[tuple[int, DataFrame]]:
     """(depth, pairs of prefixes a <= b) that together cover every link; both nodes small."""
     spark = nodes.sparkSession
-    pairs = spark.createDataFrame([(0, 0, 0)], "a long, b long, err int")
-    closed, depth = [], 0
+    first = [
+        (a, b, (a ^ b).bit_count())
+        for a in range(2**STEP)
+        for b in range(a, 2**STEP)
+        if (a ^ b).bit_count() <= distance
+    ]
+    pairs = spark.createDataFrame(first, "a long, b long, err int")
+    closed, depth = [], STEP
     while True:
         counts = nodes.groupBy(_prefix(F.col("fp"), depth).alias("node")).agg(
             F.count("*").alias("n")
