@@ -336,7 +336,9 @@ def judge(
     )
     trusted = written(trusted.filter("quality = 1").select("doc_id"), "trusted")
     lessons = rows.filter(~unseen("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = written(count_ngrams(lessons.join(trusted, "doc_id", "left_semi")), "ngrams")
+    # a shuffle at every size: sent to all tasks, the ids would be no smaller share of a larger table
+    lessons = lessons.join(trusted.hint("shuffle_merge"), "doc_id", "left_semi")
+    counts = written(count_ngrams(lessons), "ngrams")
     model = written(build(counts), "ngram-model")
     scored = written(perplexities(rows, model, shard_rows), "perplexities")
     good = scored.filter("perplexity is not null").join(trusted, "doc_id", "left_semi")
