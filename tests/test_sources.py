@@ -1,4 +1,6 @@
 import json
+import pathlib
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -140,7 +142,10 @@ def test_only_the_newest_batches_are_read(spark, path):
 def test_newest_batches_reach_over_groups(spark, path):
     ids = [0, 7, 998, 999, 1000, 2500]
     for batch in ids:
-        files.write_text(spark, tables.batch_folder(path("p"), batch) + "/x", "")
+        files.write_text(spark, tables.batch_folder(path("p"), batch) + "/_SUCCESS", "")
+    # batches that are still being written are not there yet
+    for batch in (3, 2501):
+        files.write_text(spark, tables.batch_folder(path("p"), batch) + "/part", "")
 
     def newest(n):
         return [int(f[-8:]) for f in tables.newest_batches(spark, path("p"), n)]
@@ -157,6 +162,48 @@ def test_legacy_predictions_are_offered_under_the_new_name(spark, path):
     ]
 
 
+def test_a_file_that_cannot_be_read_to_its_end_is_an_error(spark, path):
+    """Damage between a file's marks must not pass for a shorter table."""
+    with_spread(ticks(spark, 1000)).coalesce(1).write.parquet(path("t"))
+    part = next(p for p, _ in files.below(spark, path("t")) if p.endswith(".parquet"))
+    place = pathlib.Path(part.removeprefix("file:"))
+    data = bytearray(place.read_bytes())
+    data[10:400] = b"\0" * 390
+    place.with_name(f".{place.name}.crc").unlink(missing_ok=True)
+    place.write_bytes(data)
+    with pytest.raises(Exception):
+        tables.read_tolerant(spark, path("t"), HISTORY).collect()
+
+
+def test_damaged_files_are_named(spark, path):
+    with_spread(ticks(spark, 10)).write.parquet(path("t"))
+    with_spread(ticks(spark, 10)).limit(0).write.mode("append").parquet(path("t"))
+    for name, text in (("zero", ""), ("short", "PAR1"), ("odd name=1%", "no parquet, but long enough")):
+        files.write_text(spark, f"{path('t')}/{name}.parquet", text)
+    found = {p.rpartition("/")[2] for p in tables.damaged_files(spark, [path("t")])}
+    assert found == {"zero.parquet", "short.parquet", "odd name=1%.parquet"}
+    assert tables.read_tolerant(spark, path("t"), HISTORY).count() == 10
+
+
+def test_statistics_of_all_part_files_or_the_newest(spark, path):
+    stats = window_stats(ticks(spark, 1000), "10 seconds")
+    stats.repartition(40).write.parquet(path("stats"))
+    assert tables.read_stats(spark, path("stats")).count() == stats.count()
+    later = stats.limit(1).withColumn("n_obs", F.lit(-1).cast("long"))
+    time.sleep(1.1)
+    later.coalesce(1).write.mode("append").parquet(path("stats"))
+    assert [r.n_obs for r in tables.read_stats(spark, path("stats"), n_files=1).collect()] == [-1]
+
+
+def test_a_repeated_batch_takes_the_place_of_the_first(spark, path):
+    assert sinks.write_batch(scored(spark, 2), path("p"), 5) == 2
+    assert sinks.write_batch(scored(spark, 3), path("p"), 5) == 3
+    assert tables.read_predictions(spark, path("p")).count() == 3
+    assert sinks.write_batch(scored(spark, 3).limit(0), path("p"), 5) == 0
+    assert tables.newest_batches(spark, path("p"), 9) == []
+    assert [n for n, _ in files.children(spark, path("p")) if n.startswith("_")] == []
+
+
 # history and payloads
 
 

@@ -1,5 +1,6 @@
-"""Parquet writers that survive a repeated batch and never show a half-written table."""
+"""Parquet writers that survive a repeated batch and show readers complete tables only."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,15 +52,19 @@ def clear_snapshot(spark: SparkSession, path: str) -> None:
 def write_batch(df: DataFrame, path: str, batch_id: int) -> int:
     """Store the rows of one micro-batch in a folder of its own, replacing an earlier try.
 
-    The rows are counted as they are written, and a batch that has none leaves nothing.
+    They are written beside it and take its place once they are complete. The rows are counted as they are written, and a batch that has none leaves nothing.
     Returns the number of rows.
     """
-    folder = batch_folder(path, batch_id)
+    spark = df.sparkSession
+    attempt = f"{path}/_attempt-{batch_id:08d}-{uuid.uuid4().hex[:12]}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(attempt)
     n = seen.get["n"]
-    if not n:
-        files.drop_folder(df.sparkSession, folder)
+    if n:
+        files.replace_folder(spark, attempt, batch_folder(path, batch_id))
+    else:
+        files.drop_folder(spark, attempt)
+        files.drop_folder(spark, batch_folder(path, batch_id))
     return n
 
 

@@ -21,6 +21,57 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted((entry.getPath().getName(), entry.getLen()) for entry in fs.listStatus(hadoop))
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file was last changed, in milliseconds."""
+    fs, hadoop = _located(spark, path)
+    return fs.getFileStatus(hadoop).getModificationTime()
+
+
+def below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and length of all files below a folder, those of hidden folders left out."""
+    fs, hadoop = _located(spark, path)
+    found, pending = [], [hadoop]
+    while pending:
+        for entry in fs.listStatus(pending.pop()):
+            place = entry.getPath()
+            if place.getName()[:1] in "_.":
+                continue
+            if entry.isDirectory():
+                pending.append(place)
+            else:
+                found.append((place.toString(), entry.getLen()))
+    return sorted(found)
+
+
+def ends(spark: SparkSession, path: str, n: int) -> tuple[bytes, bytes]:
+    """The first and the last ``n`` bytes of a file that has as many."""
+    fs, hadoop = _located(spark, path)
+    length = fs.getFileStatus(hadoop).getLen()
+    opened = fs.open(hadoop)
+    try:
+
+        def at(place: int) -> bytes:
+            opened.seek(place)
+            return bytes(opened.read() for _ in range(n))
+
+        return at(0), at(length - n)
+    finally:
+        opened.close()
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of another, which stays whole until then."""
+    fs, new = _located(spark, source)
+    old = spark._jvm.org.apache.hadoop.fs.Path(target)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(old.getParent(), f"_old-{new.getName()}")
+    if fs.exists(old):
+        fs.rename(old, aside)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(new, old):
+        raise OSError(f"{source} could not be renamed to {target}")
+    fs.delete(aside, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small new file; readers skip it until it is whole."""
     fs, target = _located(spark, path)

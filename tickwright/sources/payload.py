@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwright.functions.numbers import plain_number
 from tickwright.schemas import PAYLOAD, PAYLOAD_FIELDS, PAYLOAD_META, PAYLOAD_SERIES, PAYLOAD_SYMBOL
 
 # Fixed value: the source tag of rows from daily payloads.
@@ -27,7 +28,7 @@ def flatten_daily(documents: DataFrame, symbol: Column | None = None) -> DataFra
         F.explode(F.col("doc").getField(PAYLOAD_SERIES)).alias("day", "quote"),
     )
     prices = {
-        name: F.col("quote").getField(key).try_cast("double")
+        name: plain_number(F.col("quote").getField(key))
         for name, key in PAYLOAD_FIELDS.items()
     }
     return days.select(

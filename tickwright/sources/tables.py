@@ -1,14 +1,23 @@
 """Table readers that cope with missing, empty and damaged files."""
 
+import logging
+import sys
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwright import settings
-from tickwright.functions.predictions import unify_prediction
+from tickwright.functions.predictions import LEGACY_PREDICTION, PREDICTION
 from tickwright.schemas import PREDICTIONS, SILVER, STATS
 from tickwright.sources import files
 
+log = logging.getLogger(__name__)
+
+# Fixed value: what a Parquet file begins and ends with.
+PARQUET_MAGIC = b"PAR1"
+
 SNAPSHOT_PREFIX = "version="
 GROUP_PREFIX = "batch_group="
 BATCH_PREFIX = "batch_id="
@@ -30,24 +39,72 @@ def _with_row_id(table: DataFrame, row_id: str | None) -> DataFrame:
 def read_tolerant(
     spark: SparkSession, path: str, schema: T.StructType, row_id: str | None = None
 ) -> DataFrame:
-    """All Parquet rows below ``path``; zero-byte and damaged files are skipped.
+    """All Parquet rows below ``path``; zero-byte and damaged files are left out.
 
-    A missing path is an empty table. ``row_id`` names an extra integer column that tells
+    Their names are logged (``damaged_files`` gives them). All other files are read
+    strictly: one that cannot be read to its end is an error, not a shorter table. A
+    missing path is an empty table. ``row_id`` names an extra integer column that tells
     rows apart and is the same at every read: it stems from the file and the row's place
     in it, so it also works as tie-breaker between ticks of the same instant.
     """
     if not files.exists(spark, path):
         return empty(spark, schema, row_id)
+    paths = _sound(spark, [path])
+    if not paths:
+        return empty(spark, schema, row_id)
     table = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", True)
-        .parquet(path)
+        .parquet(*paths)
     )
     return _with_row_id(table, row_id)
 
 
+def _sound(spark: SparkSession, folders: list[str]) -> list[str]:
+    """The folders, or if files below them are damaged, all other files."""
+    damaged = set(damaged_files(spark, folders))
+    if not damaged:
+        return folders
+    log.warning("left out as no Parquet files: %s", sorted(damaged))
+    return [p for p in _parquet_below(spark, folders) if p not in damaged]
+
+
+def _parquet_below(spark: SparkSession, folders: list[str]) -> dict[str, int]:
+    found = {p: n for folder in folders for p, n in files.below(spark, folder)}
+    return {p: n for p, n in found.items() if p.endswith(".parquet")}
+
+
+def damaged_files(spark: SparkSession, folders: list[str]) -> list[str]:
+    """Files below the folders that are called Parquet and are none: empty, or without its marks.
+
+    The footers are read by the tasks of a scan without columns. Only files that it shows no
+    rows of are looked into from here; one that cannot be opened is an error.
+    """
+    listed = _parquet_below(spark, folders)
+    if not listed:
+        return []
+    footers = (
+        spark.read.schema("none string")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .option("ignoreCorruptFiles", True)
+        .parquet(*folders)
+    )
+    whole = {_plain(r[0]) for r in footers.select("_metadata.file_path").distinct().collect()}
+    marks = PARQUET_MAGIC, PARQUET_MAGIC
+    return [
+        p
+        for p, n in listed.items()
+        if _plain(p) not in whole and (n < 12 or files.ends(spark, p, 4) != marks)
+    ]
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and escapes, which listings and plans write differently."""
+    return "/" + unquote(path).split(":", 1)[-1].lstrip("/")
+
+
 def read_silver(spark: SparkSession, path: str, row_id: str | None = None) -> DataFrame:
     return read_tolerant(spark, path, SILVER, row_id)
 
@@ -73,7 +130,7 @@ def _numbered(spark: SparkSession, path: str, prefix: str) -> list[str]:
 
 
 def newest_batches(spark: SparkSession, path: str, n: int) -> list[str]:
-    """Folders of the ``n`` newest batches, oldest first.
+    """Folders of the ``n`` newest complete batches, oldest first.
 
     Groups are looked through from the newest on, so however old a stream is, no more
     than its groups and the batches of the last few of them are listed.
@@ -81,27 +138,31 @@ def newest_batches(spark: SparkSession, path: str, n: int) -> list[str]:
     found: list[str] = []
     for group in reversed(_numbered(spark, path, GROUP_PREFIX)):
         folder = f"{path}/{group}"
-        found = [f"{folder}/{b}" for b in _numbered(spark, folder, BATCH_PREFIX)] + found
+        batches = [f"{folder}/{b}" for b in _numbered(spark, folder, BATCH_PREFIX)]
+        found = [b for b in batches if files.exists(spark, f"{b}/_SUCCESS")] + found
         if len(found) >= n:
             break
     return found[-n:]
 
 
-def read_stats(spark: SparkSession, path: str, n_files: int = settings.LATEST_BATCHES) -> DataFrame:
-    """The newest complete snapshot, else the newest ``n_files`` part files, else no rows."""
+def read_stats(spark: SparkSession, path: str, n_files: int | None = None) -> DataFrame:
+    """The newest complete snapshot, else all part files of an older table, else no rows.
+
+    ``n_files`` takes only the newest part files, by the time they were last changed.
+    """
     versions = snapshot_versions(spark, path)
     if versions:
         return spark.read.schema(STATS).parquet(f"{path}/{SNAPSHOT_PREFIX}{versions[-1]:010d}")
-    parts = [
-        f"{path}/{name}"
-        for name, size in files.children(spark, path)
-        if name.endswith(".parquet") and size > 0
-    ]
+    if n_files is None:
+        return read_tolerant(spark, path, STATS)
+    if not files.exists(spark, path):
+        return empty(spark, STATS)
+    damaged = set(damaged_files(spark, [path]))
+    parts = [p for p in _parquet_below(spark, [path]) if p not in damaged]
+    parts.sort(key=lambda p: (files.modified(spark, p), p))
     if not parts:
         return empty(spark, STATS)
-    return (
-        spark.read.schema(STATS).option("ignoreCorruptFiles", True).parquet(*parts[-n_files:])
-    )
+    return spark.read.schema(STATS).parquet(*parts[-n_files:])
 
 
 def read_stats_changes(spark: SparkSession, path: str) -> DataFrame:
@@ -110,10 +171,11 @@ def read_stats_changes(spark: SparkSession, path: str) -> DataFrame:
     Each batch added the windows it changed, a window once; the highest batch id wins.
     The pick is a hash aggregate that is reduced before the shuffle.
     """
-    if not newest_batches(spark, path, 1):
-        return empty(spark, STATS)
     tagged = T.StructType([*STATS.fields, T.StructField("batch_id", T.LongType())])
-    changes = spark.read.schema(tagged).parquet(path)
+    folders = newest_batches(spark, path, sys.maxsize)
+    if not folders:
+        return empty(spark, STATS)
+    changes = spark.read.schema(tagged).option("basePath", path).parquet(*folders)
     keys = ["window_start", "window_end", "symbol"]
     values = [c for c in STATS.fieldNames() if c not in keys]
     return changes.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
@@ -127,21 +189,19 @@ def read_predictions(
 ) -> DataFrame:
     """Stored predictions of the newest ``n_batches`` batches (None: of all).
 
-    Older batches are not read. The columns come from the files, as old ones may only have
-    the prediction's former name.
+    Older batches are not read, nor are batches that are still being written. Old files have
+    the prediction under its former name only; both names are asked for, so that no footers
+    have to be merged.
     """
-    folders = newest_batches(spark, path, n_batches or 1)
+    folders = newest_batches(spark, path, n_batches or sys.maxsize)
     if not folders:
         return empty(spark, PREDICTIONS, row_id)
-    stored = (
-        spark.read.option("basePath", path)
-        .option("mergeSchema", True)
-        .option("ignoreCorruptFiles", True)
-        .parquet(*(folders if n_batches else [path]))
-    )
-    table = unify_prediction(_with_row_id(stored, row_id))
-    wanted = [
-        (F.col(f.name) if f.name in table.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in PREDICTIONS
-    ]
+    both = T.StructType([*PREDICTIONS.fields, T.StructField(LEGACY_PREDICTION, T.DoubleType())])
+    paths = _sound(spark, folders)
+    if not paths:
+        return empty(spark, PREDICTIONS, row_id)
+    stored = spark.read.schema(both).option("basePath", path).parquet(*paths)
+    table = _with_row_id(stored, row_id)
+    table = table.withColumn(PREDICTION, F.coalesce(PREDICTION, LEGACY_PREDICTION))
+    wanted = [F.col(f.name).cast(f.dataType).alias(f.name) for f in PREDICTIONS]
     return table.select(*wanted, *([row_id] if row_id else []))

@@ -12,15 +12,14 @@ class ProgressFiles(StreamingQueryListener):
     """Writes each progress of each stream as a one-line JSON file.
 
     A stream's files lie in a folder of its name; a retried batch gives another file, and
-    readers take the last progress by time.
+    readers take the last progress by time. Nothing is deleted, as totals need every
+    progress; how long they are kept is for whoever owns the folder to decide.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keep: int = 1000):
+    def __init__(self, spark: SparkSession, path: str):
         super().__init__()
         self.spark = spark
         self.path = path
-        self.keep = keep
-        self.written: dict[str, list[str]] = {}
 
     def onQueryStarted(self, event):
         pass
@@ -31,10 +30,6 @@ class ProgressFiles(StreamingQueryListener):
         stamp = document["timestamp"].replace(":", "-")
         target = f"{self.path}/{name}/{document['batchId']:010d}-{stamp}.json"
         files.write_text(self.spark, target, json.dumps(document) + "\n")
-        mine = self.written.setdefault(name, [])
-        mine.append(target)
-        if len(mine) > self.keep:
-            files.drop_folder(self.spark, mine.pop(0))
 
     def onQueryIdle(self, event):
         pass
