@@ -116,3 +116,26 @@ def test_human_bytes(spark, size, text):
 def test_number_or_zero(spark, value, number):
     frame = spark.createDataFrame([(value,)], T.StructType([T.StructField("v", T.StringType())]))
     assert frame.select(number_or_zero(F.col("v"))).first()[0] == number
+
+
+@pytest.mark.parametrize(
+    ("text", "number"),
+    [
+        ("1.5", 1.5),
+        (" -2e3 ", -2000.0),
+        (".5", 0.5),
+        ("7.", 7.0),
+        ("1d", 0.0),
+        ("1.5f", 0.0),
+        ("0x1p3", 0.0),
+        ("0x10", 0.0),
+        ("1_000", 0.0),
+        ("", 0.0),
+        ("nan", 0.0),
+        ("inf", float("inf")),
+        (None, 0.0),
+    ],
+)
+def test_text_that_is_no_number_is_zero(spark, text, number):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(number_or_zero(F.col("t"))).first()[0] == number

@@ -116,6 +116,16 @@ def test_kth_smallest(spark, sort_limit):
         assert below == sum(v < value for v in ranked)
 
 
+@pytest.mark.parametrize("sort_limit", [1, 100])
+def test_kth_smallest_among_integers_that_share_a_double(spark, sort_limit):
+    values = [2**62 + i for i in range(300)] + [2**62 + 7] * 3
+    frame = spark.createDataFrame([(v,) for v in values], "v long")
+    ranked = sorted(values)
+    for k in (1, 9, 150, 303):
+        value, below = kth_smallest(frame, "v", k, sort_limit)
+        assert value == ranked[k - 1] and below == sum(v < value for v in ranked)
+
+
 @pytest.mark.parametrize(
     ("k", "sort_limit"), [(1, 10), (500, 10), (500, 900), (720, 10), (900, 900)]
 )

@@ -131,3 +131,9 @@ def test_scoring_needs_no_python_worker(spark):
     scored = regression.predict(regression.fit(frame), frame).where(F.col("prediction") > 0)
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_a_model_without_a_named_target_predicts_the_former_column(spark, path):
+    old = regression.LinearModel(["close"], [1.0], 0.0, None)
+    regression.save(spark, old, {}, path("model"))
+    assert regression.load(spark, path("model"))[0].target == "pred_close"

@@ -4,9 +4,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Numbers as plain text has them; a cast alone also takes suffixes such as "1d" and hex text.
+PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def plain_number(text: Column) -> Column:
+    """Text as a double, NULL if it is no plain number."""
+    return F.when(text.cast("string").rlike(PLAIN_NUMBER), text.try_cast("double"))
+
+
 def number_or_zero(value: Column) -> Column:
     """The value as a double; text that is no number, NULL and NaN become 0.0."""
-    parsed = value.try_cast("double")
+    named = F.lower(F.trim(value.cast("string"))).isin("inf", "+inf", "-inf", "infinity", "-infinity")
+    parsed = F.when(named, value.try_cast("double")).otherwise(plain_number(value))
     return F.coalesce(F.nanvl(parsed, F.lit(0.0)), F.lit(0.0))
 
 

@@ -4,14 +4,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bucket names and their exclusive upper bounds; the rest is "high".
-RANGE_BUCKETS = [("low", 80), ("mid", 120)]
-RANGE_TOP = "high"
+LOW, LOW_BELOW = "low", 80
+MID, MID_BELOW = "mid", 120
+HIGH = "high"
 
 
 def range_bucket(close: Column) -> Column:
     """Price bucket of a close. NULL and NaN are below no bound, so they are "high"."""
-    below = [F.when(close < bound, F.lit(name)) for name, bound in RANGE_BUCKETS]
-    return F.coalesce(*below, F.lit(RANGE_TOP))
+    return F.when(close < LOW_BELOW, LOW).when(close < MID_BELOW, MID).otherwise(HIGH)
 
 
 def hl_spread() -> Column:

@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 32_768
 SAMPLED_PER_SLICE = 200
-SORT_LIMIT = 1_000_000
+SORT_LIMIT = 10_000
 
 
 def micros(time: str = "event_time") -> Column:
@@ -66,7 +65,7 @@ class Slices:
         cuts a little: every row gets its slice, and no result depends on where cuts lie.
         """
         n = df.count()
-        wanted = min(MAX_SLICES, math.ceil(n / rows_per_slice))
+        wanted = math.ceil(n / rows_per_slice)
         if wanted <= 1:
             return None
         shares = [i / wanted for i in range(1, wanted)]
@@ -184,10 +183,11 @@ def kth_smallest(df: DataFrame, column: str, k: int, sort_limit: int = SORT_LIMI
             part += 1
         inside = inside.where(parts[part])
         if part in (1, 3) and sizes[part] > sort_limit:
-            # so many rows on one double can only be one integer
-            left = 1
-            inside = inside.agg(F.min("v").alias("v"))
-            break
+            # one double stands for some thousand integers at most, so these can be counted
+            for value, n in sorted(inside.groupBy("v").count().collect()):
+                if left <= n:
+                    return value, values.where(F.col("v") < value).count()
+                left -= n
     value = inside.orderBy("v").offset(left - 1).limit(1).first()["v"]
     return value, values.where(F.col("v") < value).count()
 

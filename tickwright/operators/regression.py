@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwright.functions.predictions import LEGACY_PREDICTION
 from tickwright.operators.training import chrono_split
 from tickwright.schemas import FEATURES, MODEL, TARGET
 
@@ -129,5 +130,6 @@ def load(spark: SparkSession, path: str) -> tuple[LinearModel, dict]:
     row = spark.read.schema(MODEL).json(path).first()
     if row is None:
         raise FileNotFoundError(f"no model at {path}")
-    model = LinearModel(row["features"], row["coefficients"], row["intercept"], row["target"])
+    target = row["target"] or LEGACY_PREDICTION  # old models do not name theirs
+    model = LinearModel(row["features"], row["coefficients"], row["intercept"], target)
     return model, {name: row[name] for name in ("mae", "rmse", "n_train", "n_test")}

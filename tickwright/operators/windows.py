@@ -3,13 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATISTICS = {
-    "min_close": F.min,
-    "max_close": F.max,
-    "avg_close": F.avg,
-    "var_close": F.var_samp,
-    "avg_volume": F.avg,
-}
+# The names of the statistics, in the order of the table.
+STATISTICS = ["min_close", "max_close", "avg_close", "var_close", "avg_volume", "n_obs"]
 
 
 def window_stats(ticks: DataFrame, size: str = "10 seconds", slide: str | None = None) -> DataFrame:
@@ -21,17 +16,20 @@ def window_stats(ticks: DataFrame, size: str = "10 seconds", slide: str | None =
     merge, so a hot (window, symbol) is reduced before the shuffle.
     """
     span = F.window("event_time", size, slide or size)
-    aggregates = [
-        statistic(name.split("_", 1)[1]).alias(name) for name, statistic in STATISTICS.items()
-    ]
     return (
         ticks.groupBy(span.alias("span"), "symbol")
-        .agg(*aggregates, F.count(F.lit(1)).alias("n_obs"))
+        .agg(
+            F.min("close").alias("min_close"),
+            F.max("close").alias("max_close"),
+            F.avg("close").alias("avg_close"),
+            F.var_samp("close").alias("var_close"),
+            F.avg("volume").alias("avg_volume"),
+            F.count(F.lit(1)).alias("n_obs"),
+        )
         .select(
             F.col("span.start").alias("window_start"),
             F.col("span.end").alias("window_end"),
             "symbol",
             *STATISTICS,
-            "n_obs",
         )
     )
