@@ -74,11 +74,11 @@ def test_stream_train_predict_report(spark, path):
     assert shown["online_mae"][0]["mae"] > 0 and len(shown["predicted_and_actual"]) == 198
     assert sum(r["n"] for r in shown["error_histogram"]) == 99
     names = {r["name"]: r["input_rows"] for r in shown["progress"]}
-    assert {"bronze_sink", "silver_sink", "stats_snapshot", "stats_console"} <= set(names)
+    assert {"bronze_silver", "stats_changes", "predictions"} <= set(names)
     assert len(shown["avg_close"]) == 10
 
-    # a second start resumes the tables and rebuilds the snapshot
-    for query in app.start_processor(spark, config, path("in"), now):
+    # a second start resumes the tables; a snapshot is kept on demand
+    for query in app.start_processor(spark, config, path("in"), now, complete=True):
         assert query.awaitTermination(120)
     assert tables.read_silver(spark, config.table("silver")).count() == 100
     assert tables.read_stats(spark, config.table("stats")).count() == 10

@@ -222,7 +222,7 @@ def test_checkpoint_choice(spark, path):
     files.write_text(spark, f"{root}/run=000000/metadata", "x")
     assert choose("resume") == "/run=000000"
     assert choose("fresh") == choose("replay_if_empty") == "/run=000001"
-    files.write_text(spark, tables.batch_folder(out, 0) + "/part.parquet", "x")
+    files.write_text(spark, tables.batch_folder(out, 0) + "/_SUCCESS", "")
     assert choose("replay_if_empty") == "/run=000000"
     with pytest.raises(ValueError, match="start option"):
         choose("maybe")
@@ -234,3 +234,29 @@ def test_state_settings_are_given_back(spark):
     with lifecycle.state_settings(spark, partitions=3):
         assert spark.conf.get(key) == "3"
     assert spark.conf.get(key) == before
+
+
+def test_when_one_stream_ends_the_others_are_stopped(spark, path):
+    files.write_text(spark, path("in/0.json"), "{}\n")
+    endless = jobs.start_bronze(tick_stream(spark, "json", path("in")), path("a"), path("ca"))
+    short = jobs.start_silver(
+        tick_stream(spark, "json", path("in")), path("b"), path("cb"), trigger=jobs.AVAILABLE_NOW
+    )
+    spark.streams.resetTerminated()
+    lifecycle.await_all(spark, [endless, short])
+    assert not endless.isActive and not short.isActive
+    spark.streams.resetTerminated()
+
+
+def test_no_progress_is_deleted(spark, path):
+    class Event:
+        def __init__(self, batch):
+            document = {"name": "s", "batchId": batch, "numInputRows": 2}
+            document["timestamp"] = f"2024-01-01T00:{batch // 60:02d}:{batch % 60:02d}.000Z"
+            self.progress = type("Progress", (), {"json": json.dumps(document)})
+
+    listener = progress.ProgressFiles(spark, path("progress"))
+    for batch in range(1001):
+        listener.onQueryProgress(Event(batch))
+    found = logs.progress_metrics(logs.read_progress(spark, path("progress")))
+    assert found.agg(F.sum("input_rows")).first()[0] == 2002

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwright.operators import evaluation, regression, scoring, training
 from tickwright.schemas import HISTORY, SILVER
-from tickwright.session import build_session, stored
+from tickwright.session import build_session, stored, written
 from tickwright.settings import Settings
 from tickwright.sinks.tables import cached_history, clear_snapshot
 from tickwright.sources import files, logs, payload, tables
@@ -20,36 +20,61 @@ NO_MODEL = regression.LinearModel(["close"], [0.0], 0.0)
 
 def ticks_from(spark: SparkSession, config: Settings, folder: str | None, starting: str):
     """The topic of the settings, or the messages in ``folder`` if one is named."""
+    bound = config.max_per_trigger or None
     if folder:
-        return tick_stream(spark, "json", folder)
+        return tick_stream(spark, "json", folder, max_per_trigger=bound)
     return tick_stream(
-        spark, "kafka", config.kafka_topic, servers=config.kafka_servers, starting=starting
+        spark,
+        "kafka",
+        config.kafka_topic,
+        servers=config.kafka_servers,
+        starting=starting,
+        max_per_trigger=bound,
     )
 
 
 def start_processor(
-    spark: SparkSession, config: Settings, folder: str | None = None, trigger=None
+    spark: SparkSession,
+    config: Settings,
+    folder: str | None = None,
+    trigger=None,
+    complete: bool = False,
 ) -> list:
-    """Start the raw table, the feature table, the statistics snapshot and the console."""
+    """Start the raw and feature tables, which share one stream, and the window statistics.
+
+    ``complete`` keeps a snapshot of all windows ever seen instead of what changed, and prints
+    the windows of each batch; its state and its batches grow with the age of the stream.
+    """
     progress.watch(spark, config.table("logs/stream_progress"))
     ticks = ticks_from(spark, config, folder, "latest")
     span = {"size": config.window, "slide": config.slide, "trigger": trigger}
-    clear_snapshot(spark, config.table("stats"))
-    stats_run = lifecycle.checkpoint_path(
-        spark, config.checkpoint("processor/stats_snapshot"), "fresh"
+    tables_stream = jobs.start_bronze_and_silver(
+        ticks,
+        config.table("bronze"),
+        config.table("silver"),
+        config.checkpoint("processor/bronze_silver"),
+        trigger,
     )
+    if not complete:
+        run = config.checkpoint("processor/stats_changes")
+        changes = jobs.start_stats_changes(ticks, config.table("stats_changes"), run, **span)
+        return [tables_stream, changes]
+    clear_snapshot(spark, config.table("stats"))
+    run = lifecycle.checkpoint_path(spark, config.checkpoint("processor/stats_snapshot"), "fresh")
     return [
-        jobs.start_bronze(
-            ticks, config.table("bronze"), config.checkpoint("processor/bronze"), trigger
-        ),
-        jobs.start_silver(
-            ticks, config.table("silver"), config.checkpoint("processor/silver"), trigger
-        ),
-        jobs.start_stats_snapshot(ticks, config.table("stats"), stats_run, **span),
+        tables_stream,
+        jobs.start_stats_snapshot(ticks, config.table("stats"), run, **span),
         jobs.start_stats_console(ticks, **span),
     ]
 
 
+def read_statistics(spark: SparkSession, config: Settings) -> DataFrame:
+    """The snapshot if one is kept, else the last state of every window that changed."""
+    if tables.snapshot_versions(spark, config.table("stats")):
+        return tables.read_stats(spark, config.table("stats"))
+    return tables.read_stats_changes(spark, config.table("stats_changes"))
+
+
 def load_history(spark: SparkSession, config: Settings, payloads: str | None) -> DataFrame:
     """Daily history, from the cached table or else from saved payload documents."""
     path = config.table("bootstrap")
@@ -90,12 +115,13 @@ def start_predictor(
 
 def report(spark: SparkSession, config: Settings) -> dict[str, DataFrame]:
     """The reader views over the stored tables, by name."""
-    stats = tables.read_stats(spark, config.table("stats"))
+    stats = read_statistics(spark, config)
     predictions = tables.read_predictions(spark, config.table("predictions"), row_id=ROW_ID)
     if predictions.isEmpty():
         errors = _demo(spark, config)
     else:
         errors = scoring.with_errors(predictions, ROW_ID)
+    errors = written(errors, "errors")  # five views read it
     progressed = logs.read_progress(spark, config.table("logs/stream_progress"))
     runs = logs.read_run_log(spark, config.table("logs/benchmark_runs.csv"))
     return {
@@ -126,12 +152,16 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tickwright")
     parser.add_argument("job", choices=["stream", "train", "predict", "report"])
     parser.add_argument("--messages", help="folder of JSON messages instead of the topic")
+    parser.add_argument(
+        "--complete", action="store_true", help="keep all windows as a snapshot and print them"
+    )
     parser.add_argument("--payloads", help="folder of daily payload documents for training")
     args = parser.parse_args(arguments)
     config = Settings.from_env()
     spark = build_session(f"tickwright-{args.job}")
     if args.job == "stream":
-        lifecycle.await_all(spark, start_processor(spark, config, args.messages))
+        streams = start_processor(spark, config, args.messages, complete=args.complete)
+        lifecycle.await_all(spark, streams)
     elif args.job == "predict":
         start_predictor(spark, config, args.messages).awaitTermination()
     elif args.job == "train":

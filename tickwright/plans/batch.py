@@ -1,8 +1,11 @@
 """Registered batch queries."""
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwright import settings
 from tickwright.functions.numbers import human_bytes
 from tickwright.functions.predictions import unify_prediction
 from tickwright.functions.prices import silver_features, with_spread
@@ -107,10 +110,11 @@ def history_clean(spark: Spark, sf_dir: str) -> DataFrame:
 
 
 def training_topup(spark: Spark, sf_dir: str) -> DataFrame:
-    """Silver too short for the number of rows asked for, so history joins it."""
+    """Silver one row short of the number asked for, so history joins it."""
     frame = silver_features(plain_ticks(spark, sf_dir))
     history = with_spread(daily(spark, sf_dir))
-    return naive_times(rounded(training.top_up(frame, history, min_rows=2**31 - 1), 4))
+    wanted = table(spark, sf_dir, "events").count() + 1
+    return naive_times(rounded(training.top_up(frame, history, min_rows=wanted), 4))
 
 
 def history_cache(spark: Spark, sf_dir: str) -> DataFrame:
@@ -195,8 +199,11 @@ def latest_batch_folders(spark: Spark, sf_dir: str) -> DataFrame:
     """The same rows from stored batches, of which only the newest folders are read."""
     path = scratch(spark, "predictions")
     group = F.floor(F.col("batch_id") / tables.BATCHES_PER_GROUP)
-    stored = predictions(spark, sf_dir).withColumn("batch_group", group).repartition("batch_id")
+    stored = predictions(spark, sf_dir).withColumn("batch_group", group)
     stored.write.partitionBy("batch_group", "batch_id").parquet(path)
+    # one job wrote all batches, so its mark stands for each of them
+    for folder in {part.rpartition("/")[0] for part, _ in files.below(spark, path)}:
+        files.write_text(spark, f"{folder}/_SUCCESS", "")
     newest = tables.read_predictions(spark, path)
     return naive_times(
         rounded(newest.select("event_time", "symbol", "batch_id", "close", "pred_next_close"), 4)
@@ -282,18 +289,29 @@ def stats_snapshot(spark: Spark, sf_dir: str) -> DataFrame:
     """A snapshot written twice; readers see the second version whole."""
     path = scratch(spark, "stats")
     stats = window_stats(plain_ticks(spark, sf_dir), "1 hour")
-    write_snapshot(stats.withColumn("n_obs", F.lit(0).cast("long")), path, ["symbol"])
+    write_snapshot(stats.withColumn("n_obs", F.lit(0).cast("long")), path, ["window_start"])
     write_snapshot(stats, path, ["window_start", "symbol"])
     return naive_times(rounded(tables.read_stats(spark, path)))
 
 
 def stats_read_latest(spark: Spark, sf_dir: str) -> DataFrame:
-    """Without a snapshot, all of the few part files of an older table are read."""
+    """Without a snapshot, all part files of an older table are read, however many."""
     path = scratch(spark, "stats")
-    window_stats(plain_ticks(spark, sf_dir), "1 hour").repartition(4, "symbol").write.parquet(path)
+    window_stats(plain_ticks(spark, sf_dir), "1 hour").repartition(40).write.parquet(path)
     return naive_times(rounded(tables.read_stats(spark, path).select(*STATS.fieldNames())))
 
 
+def stats_read_newest_files(spark: Spark, sf_dir: str) -> DataFrame:
+    """The explicit thirty newest part files, by time: those of the table's last append."""
+    path = scratch(spark, "stats")
+    stats = window_stats(plain_ticks(spark, sf_dir), "1 hour")
+    stats.withColumn("n_obs", F.lit(0).cast("long")).repartition(10).write.parquet(path)
+    time.sleep(1)  # some stores keep whole seconds only
+    parts = settings.LATEST_BATCHES
+    stats.repartition(parts).write.mode("append").parquet(path)
+    return naive_times(rounded(tables.read_stats(spark, path, n_files=parts)))
+
+
 def run_log_latest(spark: Spark, sf_dir: str) -> DataFrame:
     """Events as a run log in CSV: the type is the command, the value the time it took."""
     path = scratch(spark, "run-log")
@@ -348,6 +366,7 @@ QUERIES = {
     "tolerant_parquet_read": tolerant_parquet_read,
     "stats_snapshot": stats_snapshot,
     "stats_read_latest": stats_read_latest,
+    "stats_read_newest_files": stats_read_newest_files,
     "run_log_latest": run_log_latest,
     "human_bytes": human_bytes_view,
 }

@@ -17,7 +17,6 @@ from tickwright.sources.payload import DAILY_SOURCE
 
 TIE = "event_id"
 AVERAGES = ["avg_close", "var_close", "avg_volume"]
-NUDGE = 1.000000000001
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,13 +39,14 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Computed doubles without the digits that depend on the order of summation.
 
     The average of 32 prices in cents may end exactly half way between two rounded
-    values. Averages are moved up by a trillionth, so that such halves go the same way
-    however their sums came about.
+    values. Averages first become decimals, which are free of what summation added to the
+    last digits of a double, so such halves are rounded alike however their sums came about.
     """
 
     def shown(name: str):
-        value = F.col(name) * NUDGE if name in AVERAGES else F.col(name)
-        return F.round(value, digits).alias(name)
+        if name not in AVERAGES:
+            return F.round(name, digits).alias(name)
+        return F.round(F.col(name).cast("decimal(30, 9)"), digits).cast("double").alias(name)
 
     return df.select(
         *[

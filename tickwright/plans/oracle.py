@@ -66,12 +66,12 @@ SILVER_COLUMNS = """
   CASE WHEN close < 80 THEN 'low' WHEN close < 120 THEN 'mid' ELSE 'high' END AS range_bucket,
   round(high - low, 6) AS hl_spread, round(close - open, 6) AS oc_change"""
 
-# averages are moved up by a trillionth, see ``rounded``
+# averages are rounded as decimals, see ``rounded``
 STATS_COLUMNS = """
   round(min(close), 6) AS min_close, round(max(close), 6) AS max_close,
-  round(avg(close) * 1.000000000001, 6) AS avg_close,
-  round(var_samp(close) * 1.000000000001, 6) AS var_close,
-  round(avg(volume) * 1.000000000001, 6) AS avg_volume, count(*) AS n_obs"""
+  round(avg(close)::DECIMAL(30, 9), 6)::DOUBLE AS avg_close,
+  round(var_samp(close)::DECIMAL(30, 9), 6)::DOUBLE AS var_close,
+  round(avg(volume)::DECIMAL(30, 9), 6)::DOUBLE AS avg_volume, count(*) AS n_obs"""
 
 
 def stats(width: str, slide: str | None = None, source: str = "ticks") -> str:
@@ -269,6 +269,7 @@ SELECT event_time, symbol, open, high, low, close, volume, source,
        round(high - low, 6) AS hl_spread FROM ticks""",
     "stats_snapshot": f"WITH {TICKS} {stats('1 hour')}",
     "stats_read_latest": f"WITH {TICKS} {stats('1 hour')}",
+    "stats_read_newest_files": f"WITH {TICKS} {stats('1 hour')}",
     "run_log_latest": """
 SELECT ts AS timestamp_utc, event_type AS command,
        round(value / 7, 3) AS elapsed_seconds,

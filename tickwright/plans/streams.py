@@ -1,5 +1,7 @@
 """Registered streaming queries: each works off the ticks as a stream and reads the output."""
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,33 +9,49 @@ from tickwright.functions.ticks import parse_ticks
 from tickwright.operators import regression
 from tickwright.plans.bridge import labelled, naive_times, plain_ticks, rounded
 from tickwright.schemas import STATS, TICK
-from tickwright.session import scratch
+from tickwright.session import scratch, written
 from tickwright.sinks.messages import publish
 from tickwright.sources import logs, tables
 from tickwright.sources.ticks import message_stream, tick_stream
 from tickwright.streaming import jobs, progress
 
 Spark = SparkSession
-WAIT_SECONDS = 3600
 
 
-def published(spark: Spark, sf_dir: str) -> str:
-    """Folder with all ticks as JSON messages."""
+#: Micro-batches a query's messages are published for, and files of each.
+SLICES, FILES = 12, 2
+
+
+def published(spark: Spark, sf_dir: str, slices: int = 1) -> str:
+    """Folder with all ticks as JSON messages, written slice of time by slice of time.
+
+    A stream that takes ``FILES`` files at a time sees one slice in each micro-batch.
+    """
     path = scratch(spark, "messages")
-    publish(plain_ticks(spark, sf_dir), "json", path)
+    ticks = plain_ticks(spark, sf_dir)
+    if slices == 1:
+        publish(ticks, "json", path)
+        return path
+    ticks = written(ticks, "ticks")
+    instant = F.unix_micros("event_time")
+    shares = [i / slices for i in range(1, slices)]
+    cuts = ticks.select(instant.cast("double").alias("at")).approxQuantile("at", shares, 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        own = F.lit(True) if low is None else instant >= low
+        own = own if high is None else own & (instant < high)
+        publish(ticks.where(own).repartition(FILES), "json", path)
+        time.sleep(0.01)  # files are taken in the order of their times
     return path
 
 
 def finish(query) -> None:
     """Wait for a stream that works off what is there; its error becomes ours."""
-    if not query.awaitTermination(WAIT_SECONDS):
-        query.stop()
-        raise TimeoutError(f"stream {query.name} did not end")
+    query.awaitTermination()
 
 
 def _run(start, spark: Spark, sf_dir: str, **options) -> str:
     """Run one of the jobs over all messages and return the path of its output."""
-    ticks = tick_stream(spark, "json", published(spark, sf_dir))
+    ticks = tick_stream(spark, "json", published(spark, sf_dir, SLICES), max_per_trigger=FILES)
     out, checkpoint = scratch(spark, "output"), scratch(spark, "checkpoint")
     finish(start(ticks, out, checkpoint, trigger=jobs.AVAILABLE_NOW, **options))
     return out
@@ -81,10 +99,10 @@ def stream_window_stats_sliding(spark: Spark, sf_dir: str) -> DataFrame:
 def stream_score(spark: Spark, sf_dir: str) -> DataFrame:
     """Predictions of a model trained on the same ticks."""
     model = regression.fit(labelled(spark, sf_dir))
-    ticks = tick_stream(spark, "json", published(spark, sf_dir))
+    ticks = tick_stream(spark, "json", published(spark, sf_dir, SLICES), max_per_trigger=FILES)
     out, checkpoint = scratch(spark, "predictions"), scratch(spark, "checkpoint")
     finish(jobs.start_scoring(ticks, model, out, checkpoint, trigger=jobs.AVAILABLE_NOW))
-    stored = tables.read_predictions(spark, out)
+    stored = tables.read_predictions(spark, out, n_batches=None)
     view = stored.select("event_time", "symbol", "close", "pred_next_close", "prediction_target")
     return naive_times(rounded(view, 3))
 

@@ -4,6 +4,7 @@ import os
 from dataclasses import dataclass
 
 
+# The names of the environment variables, and the defaults.
 @dataclass(frozen=True)
 class Settings:
     kafka_servers: str = "localhost:9092"
@@ -13,6 +14,7 @@ class Settings:
     symbol: str = "IBM"
     output_dir: str = "output"
     checkpoint_dir: str = "output/checkpoints"
+    max_per_trigger: int = 0  # messages (or files) of a micro-batch at most; 0: all there are
 
     @staticmethod
     def from_env(env=None) -> "Settings":
@@ -26,6 +28,7 @@ class Settings:
             symbol=env.get("ALPHAVANTAGE_SYMBOL", base.symbol),
             output_dir=env.get("OUTPUT_DIR", base.output_dir),
             checkpoint_dir=env.get("CHECKPOINT_DIR", base.checkpoint_dir),
+            max_per_trigger=int(env.get("STREAM_MAX_PER_TRIGGER", base.max_per_trigger)),
         )
 
     @property
@@ -43,6 +46,7 @@ class Settings:
         return f"{self.checkpoint_dir}/{name}"
 
 
+# Watermark, thresholds and sizes of views.
 WATERMARK = "2 minutes"
 MIN_SILVER_ROWS = 30      # below this the training set is topped up with history
 MIN_HISTORY_ROWS = 120    # a cached history table is reused from this size on

@@ -14,6 +14,10 @@ from tickwright.streaming.lifecycle import state_settings
 
 STATS_ORDER = ["window_start", "symbol"]
 
+# What the streams are called in progress documents.
+BRONZE, SILVER = "bronze_sink", "silver_sink"
+STATS_SNAPSHOT, STATS_CONSOLE = "stats_snapshot", "stats_console"
+PREDICTIONS = "predictions"
 
 Trigger = dict | None
 
@@ -37,13 +41,13 @@ def _append_table(df, path, name, checkpoint, trigger):
 def start_bronze(ticks: DataFrame, path: str, checkpoint: str, trigger: Trigger = None):
     """Append the ticks as they are, rows of NULLs from broken messages included."""
     watermarked = with_watermark(ticks, WATERMARK)
-    return _append_table(watermarked, path, "bronze_sink", checkpoint, trigger)
+    return _append_table(watermarked, path, BRONZE, checkpoint, trigger)
 
 
 def start_silver(ticks: DataFrame, path: str, checkpoint: str, trigger: Trigger = None):
     """Append the ticks with their feature columns."""
     features = silver_features(with_watermark(ticks, WATERMARK))
-    return _append_table(features, path, "silver_sink", checkpoint, trigger)
+    return _append_table(features, path, SILVER, checkpoint, trigger)
 
 
 def start_bronze_and_silver(
@@ -91,7 +95,7 @@ def start_stats_snapshot(
 
     writer = (
         streaming_stats(ticks, size, slide)
-        .writeStream.queryName("stats_snapshot")
+        .writeStream.queryName(STATS_SNAPSHOT)
         .outputMode("complete")
         .foreachBatch(store)
     )
@@ -153,7 +157,7 @@ def start_stats_console(
     """Print the windows each batch changed; keeps no checkpoint."""
     writer = (
         streaming_stats(ticks, size, slide)
-        .writeStream.queryName("stats_console")
+        .writeStream.queryName(STATS_CONSOLE)
         .outputMode("update")
         .format("console")
         .option("truncate", False)
@@ -177,6 +181,6 @@ def start_scoring(
 
     scored = score_ticks(with_spread(ticks), model)
     writer = (
-        scored.writeStream.queryName("predictions").outputMode("append").foreachBatch(store)
+        scored.writeStream.queryName(PREDICTIONS).outputMode("append").foreachBatch(store)
     )
     return _start(writer, checkpoint, trigger)
