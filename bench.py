@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tickwright.operators import regression  # noqa: E402
 from tickwright.plans import batch, streams  # noqa: E402
 from tickwright.plans.bridge import labelled, plain_ticks  # noqa: E402
-from tickwright.session import build_session, scratch  # noqa: E402
+from tickwright.session import build_session, clear_scratch, scratch  # noqa: E402
 from tickwright.sources.ticks import tick_stream  # noqa: E402
 from tickwright.streaming import jobs  # noqa: E402
 
@@ -113,6 +113,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -91,17 +91,37 @@ def test_cuts_from_a_sample_give_the_same_neighbours(spark, monkeypatch):
     assert {r["tie"]: r["near"] for r in found.collect()} == expected_neighbours(rows, 1)
 
 
-def test_sliced_plan_shuffles_the_rows_once(spark):
+def planned(found):
+    return found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_shuffled_once_and_then_written(spark):
+    """What is left after the table of neighbours is written shuffles the summary alone."""
+    frame = spark.createDataFrame(skewed_rows(), SCHEMA)
+    plan = planned(with_neighbour(frame, "close", "near", "tie", rows_per_slice=60))
+    assert plan.count("hashpartitioning(symbol") == 1 and "BroadcastHashJoin" in plan
+    assert "SortAggregate" not in plan and "REPARTITION" not in plan
+
+
+def test_chained_neighbours_do_not_run_each_other_again(spark):
+    frame = spark.createDataFrame(skewed_rows(), SCHEMA)
+    once = with_neighbour(frame, "close", "near", "tie", rows_per_slice=60)
+    twice = with_neighbour(once, "near", "next", "tie", rows_per_slice=60)
+    plan = planned(twice)
+    assert plan.count("hashpartitioning(symbol") == 1 and plan.count("FileScan") == 2
+
+
+def test_a_large_summary_is_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "FEW_EDGES", 3)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = skewed_rows()
     try:
-        frame = spark.createDataFrame(skewed_rows(), SCHEMA)
+        frame = spark.createDataFrame(rows, SCHEMA)
         found = with_neighbour(frame, "close", "near", "tie", rows_per_slice=60)
-        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in planned(found)
+        assert {r["tie"]: r["near"] for r in found.collect()} == expected_neighbours(rows, 1)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("hashpartitioning(symbol") == 4  # rows once, the summary three times
-    assert plan.count("REPARTITION_BY_NUM") == 1
-    assert "SinglePartition" not in plan
 
 
 @pytest.mark.parametrize("sort_limit", [1_000_000, 20, 1])

@@ -3,9 +3,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tickwright import session
 from tickwright.functions.prices import silver_features, with_spread
 from tickwright.operators import training
 from tickwright.schemas import FEATURES, TARGET, TICK
+from tickwright.sources import files
 
 T0 = datetime(2024, 1, 1)
 
@@ -93,3 +95,11 @@ def test_split_parts_are_plain_filters(spark, path):
     for part in (head, tail):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_scratch_tables_can_be_cleared(spark, path, monkeypatch):
+    monkeypatch.setattr(session, "_own_folder", lambda spark: path("own"))
+    table = session.written(spark.range(3), "rows")
+    assert table.count() == 3 and files.exists(spark, path("own"))
+    session.clear_scratch(spark)
+    assert not files.exists(spark, path("own"))

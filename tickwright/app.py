@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwright.operators import evaluation, regression, scoring, training
 from tickwright.schemas import HISTORY, SILVER
-from tickwright.session import build_session, stored, written
+from tickwright.session import build_session, clear_scratch, stored, written
 from tickwright.settings import Settings
 from tickwright.sinks.tables import cached_history, clear_snapshot
 from tickwright.sources import files, logs, payload, tables
@@ -159,6 +159,13 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser.parse_args(arguments)
     config = Settings.from_env()
     spark = build_session(f"tickwright-{args.job}")
+    try:
+        _run(spark, config, args)
+    finally:
+        clear_scratch(spark)
+
+
+def _run(spark: SparkSession, config: Settings, args: argparse.Namespace) -> None:
     if args.job == "stream":
         streams = start_processor(spark, config, args.messages, complete=args.complete)
         lifecycle.await_all(spark, streams)

@@ -16,9 +16,13 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwright.session import written
+
 ROWS_PER_SLICE = 2_000_000
 SAMPLED_PER_SLICE = 200
 SORT_LIMIT = 10_000
+#: So many rows of a summary, a few numbers each, are sent to every task.
+FEW_EDGES = 500_000
 
 
 def micros(time: str = "event_time") -> Column:
@@ -136,19 +140,24 @@ def with_neighbour(
     inside = Window.partitionBy(*keys).orderBy(*time_order(tie, time))
     # boxed in a struct, a neighbour whose value is NULL differs from no neighbour at all
     boxed = F.struct(F.col(value).alias("value"))
-    position = F.struct(F.col(time).isNull(), F.col(time), F.col(tie))
-    edge = F.min_by(boxed, position) if step == "next" else F.max_by(boxed, position)
-    across = Window.partitionBy(*(group or [F.lit(0)])).orderBy("slice_no")
-    beyond = (
-        sliced.groupBy(*keys)
-        .agg(edge.alias("edge"))
-        .withColumn("beyond", look("edge").over(across))
-        .drop("edge")
+    back = F.lag if step == "next" else F.lead
+    # written, so that the rows are shuffled and sorted once: the edges are read off the table
+    laid = written(
+        sliced.repartition(tasks, *keys).withColumns(
+            {
+                "beside": look(boxed).over(inside),
+                "outermost": back(F.lit(1)).over(inside).isNull(),
+            }
+        ),
+        "neighbours",
     )
+    across = Window.partitionBy(*(group or [F.lit(0)])).orderBy("slice_no")
+    edges = laid.where("outermost").select(*keys, boxed.alias("edge"))
+    beyond = edges.withColumn("beyond", look("edge").over(across)).drop("edge")
+    if edges.count() <= FEW_EDGES:
+        beyond = F.broadcast(beyond)  # beyond that, the join shuffles
     return (
-        sliced.repartition(tasks, *keys)
-        .withColumn("beside", look(boxed).over(inside))
-        .join(beyond, keys, "left")
+        laid.join(beyond, keys, "left")
         .withColumn(out, F.when(belongs, F.coalesce("beside", "beyond")["value"]))
         .select(*df.columns, out)
     )

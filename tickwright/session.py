@@ -54,7 +54,16 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/tickwright/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tickwright/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables of this application; no frame that reads them may be in use."""
+    files.drop_folder(spark, _own_folder(spark))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
