@@ -54,6 +54,22 @@ def test_given_rules(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_the_four_rules_of_the_contract(spark):
+    cases = {
+        "http://x.net/": ("net/", "block"),
+        "http://example.net/en/1": ("example.net/en/", "allow"),
+        "http://a.example.com/de/": ("example.com/de/", "block"),
+        "http://www.org/fr/": ("org/fr/", "allow"),
+        "http://www.org/fr/7.html": ("org/fr/", "allow"),
+        "http://www.org/fr": (None, "allow"),
+        "http://www.org/free": (None, "allow"),
+        "http://www.org/france/fr/": (None, "allow"),
+    }
+    pages = spark.createDataFrame(list(enumerate(cases)), "page_id long, url string")
+    found = url_filter.judge(pages).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in found} == dict(enumerate(cases.values()))
+
+
 def test_table(spark):
     pages = read(spark, SMALL, "pages")
     found = url_filter.judge(pages, read(spark, SMALL, "labels")).collect()

@@ -20,7 +20,7 @@ RULES = [
     ("net", "/", BLOCK),
     ("example.net", "/en/", ALLOW),
     ("example.com", "/de/", BLOCK),
-    ("org", "/fr", ALLOW),
+    ("org", "/fr/", ALLOW),
 ]
 
 #: A combination needs this share of the labelled URLs, and so many of them at least, so that
