@@ -27,8 +27,6 @@ RULES = [
 #: a small table gives no rules by chance.
 SUPPORT, LEAST = 0.005, 20
 CONFIDENCE = 0.5
-#: Tokens of a mined combination at most; a longer one is implied by its parts in practice.
-LONGEST = 3
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,7 +94,7 @@ def mine(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
     # FP-growth reads its transactions twice
     model = FPGrowth(minSupport=support, minConfidence=confidence).fit(written(rows, "transactions"))
     target = f"verdict:{BLOCK}"
-    frequent = model.freqItemsets.filter(F.size("items") <= LONGEST + 1)
+    frequent = model.freqItemsets
     whole = frequent.filter(F.array_contains("items", target)).select(
         F.array_sort(F.array_remove("items", target)).alias("tokens"), F.col("freq").alias("both")
     )
@@ -106,14 +104,16 @@ def mine(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
     rules = whole.join(body, "tokens").filter(
         (F.size("tokens") > 0) & (F.col("both") / F.col("freq") >= confidence)
     )
-    rules = written(rules.select("tokens", (F.col("both") / F.col("freq")).alias("confidence")), "rules")
-    # a rule that holds a shorter one adds nothing; found through their common tokens
-    keyed = rules.select(F.explode("tokens").alias("token"), F.col("tokens").alias("long"))
-    first = rules.select(F.col("tokens")[0].alias("token"), F.col("tokens").alias("short"))
-    implied = keyed.join(first, "token").filter(
-        (F.size("short") < F.size("long")) & (F.size(F.array_except("short", "long")) == 0)
-    )
-    return rules.join(implied.select(F.col("long").alias("tokens")).distinct(), "tokens", "left_anti")
+    rules = rules.select("tokens", (F.col("both") / F.col("freq")).alias("confidence"))
+    rest, found = written(rules, "rules"), None
+    # a rule that holds a shorter one adds nothing: the shortest stay and take theirs away
+    while (size := rest.agg(F.min(F.size("tokens"))).first()[0]) is not None:
+        shortest = written(rest.filter(F.size("tokens") == size), "shortest")
+        found = shortest if found is None else found.union(shortest)
+        longer = rest.filter(F.size("tokens") > size)
+        implied = matches(longer, shortest).select("tokens")
+        rest = written(longer.join(implied, "tokens", "left_anti"), "longer")
+    return rest if found is None else found
 
 
 def matches(sets: DataFrame, rules: DataFrame) -> DataFrame:
