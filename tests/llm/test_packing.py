@@ -46,6 +46,35 @@ def test_encoder_gives_the_vocabularys_ids(tokenize):
         assert encode(text).tolist() == tokenize(text)
 
 
+@pytest.fixture(scope="module")
+def default():
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: own.encode(text or "", add_special_tokens=False).ids
+
+
+ENCODE = packing.encoder(packing.vocabulary(), packing.ADDED)
+ADDED_TEXTS = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n y", "<|endoftext|", "a <| endoftext|>"]
+
+
+def test_encoder_gives_the_added_token(default):
+    assert ENCODE("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    for text in ADDED_TEXTS:
+        assert ENCODE(text).tolist() == default(text)
+
+
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", " ", "  ", "\n", "é中😀", "'s", "endoftext", "ab1"])))
+@settings(max_examples=200, deadline=None)
+def test_encoder_equals_the_tokenizer_by_default(default, parts):
+    text = "".join(parts)
+    assert ENCODE(text).tolist() == default(text)
+
+
+def test_documents_with_the_added_token(spark, default):
+    cases = [*enumerate(ADDED_TEXTS), (90, "ab <|endoftext|>" * 1000)]
+    docs = spark.createDataFrame(cases, "doc_id long, text string")
+    check(packing.pack(docs).toPandas(), cases, default)
+
+
 @given(st.lists(st.integers(1, 64), max_size=200))
 @settings(max_examples=100, deadline=None)
 def test_best_fit(sizes):
