@@ -87,6 +87,47 @@ def test_best_fit(sizes):
     assert len(fills) <= max(1, 2 * sum(sizes) / 64) or not sizes
 
 
+def placed_by_runs(sizes, capacity):
+    """(size, bin, offset) of each size, by the runs."""
+    counts = {int(s): int(n) for s, n in zip(*np.unique(sizes, return_counts=True))}
+    runs = packing.best_fit_of_counts(counts, capacity)
+    out = []
+    for size, n in counts.items():
+        own = runs[runs["length"] == size].sort_values("rank")
+        assert own["rank"].iat[0] == 0
+        for rank in range(n):
+            run = own[own["rank"] <= rank].iloc[-1]
+            out.append((size, run["bin"] + (rank - run["rank"]) // run["each"],
+                        run["offset"] + (rank - run["rank"]) % run["each"] * size))
+    return out
+
+
+@given(st.lists(st.integers(1, 64), max_size=150) | st.lists(st.integers(1, 9), max_size=150))
+@settings(max_examples=150, deadline=None)
+def test_best_fit_of_counts_equals_best_fit(sizes):
+    bins = {}
+    for size, b, offset in placed_by_runs(np.array(sizes, np.int64), 64):
+        bins.setdefault(b, []).append((offset, size))
+    for own in bins.values():
+        ends = np.cumsum([0] + [s for _, s in sorted(own)])
+        assert [o for o, _ in sorted(own)] == ends[:-1].tolist() and ends[-1] <= 64
+    _, _, fills = packing.best_fit(np.array(sizes, np.int64), 64)
+    assert sorted(sum(s for _, s in own) for own in bins.values()) == sorted(fills.tolist())
+
+
+def test_many_underfull_bins_are_filled_from_other_tasks(spark):
+    """More than 50,000 bins of one task are three fifths full; the other task has what fits them."""
+    long, short = "a " * 299 + "a", "a " * 199 + "a"
+    n = 60_000
+    docs = spark.range(2 * n, numPartitions=2).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < n, long).otherwise(short).alias("text")
+    )
+    found = packing.pack(docs, capacity=512).select("sequence_id", "length")
+    lengths = {r.length: r["count"] for r in found.groupBy("length").count().collect()}
+    assert sorted(lengths.values()) == [n, n] and sum(lengths) <= 512 and min(lengths) * 2 <= 512
+    assert found.select("sequence_id").distinct().count() == n
+
+
 @pytest.mark.parametrize("carry", [packing.CARRY, 3])
 def test_documents(spark, tokenize, carry):
     docs = read(spark, SMALL, "documents")

@@ -1,10 +1,10 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
-Texts are tokenized and cut where they are read. Each task packs its own pieces best-fit,
-longest first, and closes bins that are nearly full; the others go up a tree as items, where
-a node packs the bins of its children best-fit again. A node passes on at most CARRY bins,
-the emptiest, so that none holds more than FAN times as many; the fuller ones of a larger
-number become sequences as they are (no piece is ever left out).
+Texts are tokenized and cut where they are read. Best-fit packing, longest first, depends on
+the pieces' lengths only: it is run on the number of pieces of each length, many equal pieces
+and equal bins at a time, which takes as long for any number of pieces. A piece then finds its
+place by its number among the pieces of its length. So the sequences are those of one pass over
+the whole table, however it is partitioned, and no task holds more than a batch of pieces.
 """
 
 import zlib
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwright.llm.common import documents, slices, written
@@ -23,12 +23,13 @@ END = 2
 #: The vocabulary's added token, which a text may hold.
 ADDED = {"<|endoftext|>": 50256}
 
-#: A bin with no more free places than this is closed.
-SLACK = 8
+#: Bounds of an earlier tree of tasks. They limit nothing any more.
 FAN = 16
 CARRY = 50_000
 
 _PART_BITS = 32
+#: From here on the numbers of the sequences that hold pieces of several tasks.
+_SHARED = 1 << 56
 
 
 def vocabulary() -> str:
@@ -93,91 +94,88 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return place, offset, np.array(fills, np.int64)
 
 
-def still_open(fills: np.ndarray, capacity: int, carry: int) -> np.ndarray:
-    """Which bins go up: those that are not nearly full, at most ``carry``, the emptiest."""
-    going = fills < capacity - SLACK
-    if going.sum() > carry:
-        limit = np.flatnonzero(going)[np.argsort(fills[going], kind="stable")[carry:]]
-        going[limit] = False
-    return going
+def best_fit_of_counts(counts: dict[int, int], capacity: int) -> pd.DataFrame:
+    """Where best_fit puts so many pieces of each length, as runs of equal steps.
 
-
-def _pieces_of(path: str, capacity: int, carry: int, keep_ids: bool):
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    (length, rank, bin, each, offset): from the piece numbered ``rank`` on, bins numbered from
+    ``bin`` on get ``each`` pieces, the first at ``offset``. A piece that fits a bin's free places
+    best leaves them still the tightest, so a bin takes equal pieces until one more does not fit.
+    """
+    runs: list[tuple[int, int, int, int, int]] = []
+    # by free places: (first bin, number) of bins that are equally full
+    open_bins: dict[int, list[tuple[int, int]]] = {}
+    bins = 0
+    for length in sorted(counts, reverse=True):
+        rank, left = 0, counts[length]
+        for free in [*sorted(f for f in open_bins if f >= length), capacity]:
+            each = free // length
+            # new bins, as many as are needed, come last
+            groups = open_bins.pop(free, []) if free < capacity else [(bins, -(-left // each))]
+            while groups and left:
+                first, number = groups.pop()
+                full = min(number, left // each)
+                rest = left - full * each if full < number else 0
+                runs.append((length, rank, first, each, capacity - free))
+                parts = [(free - each * length, first, full)]
+                parts += [(free - rest * length, first + full, 1)] * (rest > 0)
+                parts += [(free, first + full + (rest > 0), number - full - (rest > 0))]
+                for after, at, n in parts:
+                    if not n or not after or after == capacity:
+                        continue
+                    if after == free:
+                        groups.append((at, n))
+                    else:
+                        open_bins.setdefault(after, []).append((at, n))
+                rank, left = rank + full * each + rest, left - full * each - rest
+                bins = max(bins, first + full + (rest > 0))
+            if groups:
+                open_bins.setdefault(free, []).extend(groups)
+            if not left:
+                break
+    return pd.DataFrame(runs, columns=["length", "rank", "bin", "each", "offset"], dtype="int64")
+
+
+def _pieces_of(path: str, capacity: int, keep_ids: bool):
+    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path, ADDED)
-        part = TaskContext.get().partitionId() << _PART_BITS
-        rows, tokens = [], []
+        part = TaskContext.get().partitionId()
+        seen = [0] * (capacity + 1)
         for batch in batches:
+            rows, tokens = [], []
             for doc, text in zip(batch["doc"], batch["text"]):
                 ids = np.append(encode(text or ""), np.uint32(END))
                 for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                     own = ids[start : start + length].astype("<u4")
-                    rows.append((doc, piece, start, length, zlib.crc32(own.tobytes())))
+                    rows.append((doc, piece, start, length, zlib.crc32(own.tobytes()), part, seen[length]))
+                    seen[length] += 1
                     if keep_ids:
                         tokens.append(own.astype(np.int32))
-        out = pd.DataFrame(rows, columns=["doc", "piece", "start", "length", "ids_crc32"])
-        place, offset, fills = best_fit(out["length"].to_numpy(np.int64), capacity)
-        out["bin"], out["offset"], out["fill"] = part + place, offset, fills[place]
-        out["open"] = still_open(fills, capacity, carry)[place]
-        if keep_ids:
-            out["ids"] = tokens
-        yield from slices(out)
-
-    return packed
-
-
-def _merged_of(level: int, capacity: int, carry: int):
-    def merged(group: pd.DataFrame) -> pd.DataFrame:
-        node = int(group["node"].iat[0])
-        group = group.sort_values("bin", ignore_index=True)
-        place, offset, fills = best_fit(group["fill"].to_numpy(np.int64), capacity)
-        parent = (level << 56) + (node << _PART_BITS) + place
-        return pd.DataFrame(
-            {
-                "bin": group["bin"],
-                "parent": parent,
-                "shift": offset,
-                "fill": fills[place],
-                "open": still_open(fills, capacity, carry)[place],
-            }
-        )
-
-    return merged
-
-
-def _tree(bins: DataFrame, capacity: int, fan: int, carry: int) -> DataFrame | None:
-    """(bin, parent, shift): the sequence each open bin ends in, and where it begins there."""
-    nodes = bins.agg(F.max(F.shiftright("bin", _PART_BITS))).first()[0]
-    if nodes is None:
-        return None
-    node = F.shiftright("bin", _PART_BITS)
-    found, level = None, 0
-    while True:
-        level += 1
-        nodes = nodes // fan
-        dealt = bins.select("bin", "fill", F.floor(node / fan).alias("node"))
-        step = written(
-            dealt.groupBy("node").applyInPandas(
-                _merged_of(level, capacity, carry),
-                "bin long, parent long, shift long, fill long, open boolean",
-            ),
-            f"merged-{level}",
-        )
-        if found is None:
-            found = step.select("bin", "parent", "shift")
-        else:
-            up = step.select(
-                F.col("bin").alias("parent"), F.col("parent").alias("p"), F.col("shift").alias("s")
+            out = pd.DataFrame(
+                rows, columns=["doc", "piece", "start", "length", "ids_crc32", "part", "number"]
             )
-            found = found.join(up, "parent", "left").select(
-                "bin",
-                F.coalesce("p", "parent").alias("parent"),
-                (F.col("shift") + F.coalesce("s", F.lit(0))).alias("shift"),
-            )
-        if nodes == 0:
-            return found
-        bins = step.filter("open").select(F.col("parent").alias("bin"), "fill").distinct()
-        node = F.shiftright("bin", _PART_BITS).bitwiseAND(2**24 - 1)
+            if keep_ids:
+                out["ids"] = tokens
+            yield from slices(out)
+
+    return cut_up
+
+
+def _placer(runs: pd.DataFrame, columns: list[str]):
+    """Sequence and offset of pieces of less than the capacity, by length and rank."""
+    by_length = {length: own.to_numpy()[:, 1:] for length, own in runs.groupby("length")}
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bins, offsets = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            for length, at in batch.groupby("length").indices.items():
+                rank, (starts, first, each, offset) = batch["rank"].to_numpy()[at], by_length[length].T
+                run = np.searchsorted(starts, rank, "right") - 1
+                bin_, nth = np.divmod(rank - starts[run], each[run])
+                bins[at], offsets[at] = first[run] + bin_, offset[run] + nth * length
+            batch["sequence_id"], batch["offset"] = _SHARED + bins, offsets
+            yield batch[columns]
+
+    return place
 
 
 def pack(
@@ -195,7 +193,8 @@ def pack(
 
     A document is its ids and the id 2; a NULL or empty text is that one id. ``<|endoftext|>`` in
     a text is the vocabulary's added token, as `tokenizers` reads it. Only longer documents
-    are cut. Sequences are filled from 0 without gaps and hold at most ``capacity`` ids.
+    are cut. Sequences are filled from 0 without gaps and hold at most ``capacity`` ids; there are
+    as many as best_fit makes of the whole table. ``fan`` and ``carry`` bound nothing any more.
     Repeated rows are packed as often as they are there, NULL ids stay NULL, an empty table
     gives no rows, and other columns are left behind.
     """
@@ -204,23 +203,26 @@ def pack(
     )
     kind = texts.schema["doc"].dataType.simpleString()
     schema = (
-        f"doc {kind}, piece int, start long, length long, ids_crc32 long, bin long, "
-        "offset long, fill long, open boolean" + ", ids array<int>" * keep_ids
+        f"doc {kind}, piece int, start long, length long, ids_crc32 long, part long, number long"
+        + ", ids array<int>" * keep_ids
     )
-    pieces = _pieces_of(vocabulary_path or vocabulary(), capacity, carry, keep_ids)
-    placed = written(texts.mapInPandas(pieces, schema), "placed")
-    open_bins = placed.filter("open").select("bin", "fill").distinct()
-    tree = _tree(open_bins, capacity, fan, carry)
-    moved = placed.withColumns({"parent": F.lit(None).cast("long"), "shift": F.lit(0)})
-    if tree is not None:
-        moved = placed.join(tree, "bin", "left")
-    return moved.select(
-        F.col("doc").alias(id_col),
-        "piece",
-        "start",
-        "length",
-        "ids_crc32",
-        F.coalesce("parent", "bin").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"),
-        *["ids"] * keep_ids,
+    pieces = _pieces_of(vocabulary_path or vocabulary(), capacity, keep_ids)
+    cut_up = written(texts.mapInPandas(pieces, schema), "pieces")
+    shown = ["doc", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * keep_ids]
+
+    # a full piece is a sequence; the others are numbered across tasks, length by length
+    sequence = F.shiftleft("part", _PART_BITS) + F.col("number")
+    full = cut_up.filter(F.col("length") == capacity)
+    full = full.withColumns({"sequence_id": sequence, "offset": F.lit(0).cast("long")}).select(*shown)
+    rest = cut_up.filter(F.col("length") < capacity)
+    counts = written(rest.groupBy("part", "length").agg(F.count("*").alias("n")), "counts")
+    # one row per length, fewer than the capacity
+    total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    ranked = rest.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("number"))
+    types = {**dict(cut_up.dtypes), "sequence_id": "bigint", "offset": "bigint"}
+    placed = ranked.mapInPandas(
+        _placer(best_fit_of_counts(total, capacity), shown), ", ".join(f"{c} {types[c]}" for c in shown)
     )
+    return full.unionByName(placed).withColumnRenamed("doc", id_col)
