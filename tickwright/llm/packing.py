@@ -1,63 +1,41 @@
-"""Best-fit packing of documents into sequences of a fixed number of tokens.
-
-Texts are tokenized and cut where they are read. Best-fit packing, longest first, depends on
-the pieces' lengths only: it is run on the number of pieces of each length, many equal pieces
-and equal bins at a time, which takes as long for any number of pieces. A piece then finds its
-place by its number among the pieces of its length. So the sequences are those of one pass over
-the whole table, however it is partitioned, and no task holds more than a batch of pieces.
+"""Hierarchical best-fit packing of documents into sequences of a fixed number of tokens.
+
+Texts are tokenized and cut where they are read, and a task best-fits its own pieces, a bounded
+node of them at a time. Bins that are nearly full are sequences; the underfull ones travel.
+In each round they are dealt by hash to nodes of bounded size, fewer from round to round as
+sequences leave. A node first packs whole bins as items; what is still underfull is taken
+apart and packed again piece by piece. The rounds end with a node that sees all that is
+left, or once they hardly free bins any more. No number of bins or pieces is capped: more of
+them make more nodes, and every piece is placed.
 """
 
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwright.llm.common import documents, slices, written
+from tickwright.llm.common import documents, written
+from tickwright.llm.tokens import byte_bpe, vocabulary
 
 CAPACITY = 1024
 END = 2
 #: The vocabulary's added token, which a text may hold.
 ADDED = {"<|endoftext|>": 50256}
 
-#: Bounds of an earlier tree of tasks. They limit nothing any more.
-FAN = 16
-CARRY = 50_000
-
-_PART_BITS = 32
-#: From here on the numbers of the sequences that hold pieces of several tasks.
-_SHARED = 1 << 56
-
-
-def vocabulary() -> str:
-    import public_tokenizers
+#: A node holds about so many pieces, and so many tokens, at most.
+NODE_PIECES = 100_000
+NODE_TOKENS = 1 << 24
+#: A bin filled to this share is a sequence.
+FULL = 0.995
+#: The rounds end when one frees less than this share of the bins it was given.
+GAIN = 0.001
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
-
-
-def encoder(path: str, added: dict[str, int] | None = None):
-    """Ids of a text by the byte-level BPE vocabulary and the ``added`` tokens in it.
-
-    The ranks give the same ids as the vocabulary's JSON form, five times as fast. They hold no
-    added token: without ``added`` its string is ordinary text.
-    """
-    import base64
-
-    import public_tokenizers
-    import tiktoken
-
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    bpe = tiktoken.Encoding(
-        "byte_bpe",
-        pat_str=public_tokenizers.PATTERN,
-        mergeable_ranks=ranks,
-        special_tokens=added or {},
-    )
-    return lambda text: np.array(bpe.encode(text, allowed_special="all"), np.uint32)
+#: A bin's number: its round, then the task or node that made it, then its place there.
+_ROUND_BITS, _NODE_BITS = 56, 32
 
 
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -94,88 +72,103 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return place, offset, np.array(fills, np.int64)
 
 
-def best_fit_of_counts(counts: dict[int, int], capacity: int) -> pd.DataFrame:
-    """Where best_fit puts so many pieces of each length, as runs of equal steps.
+def merge(
+    bins: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, capacity: int, enough: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """New bin, offset and fill of the pieces of underfull ``bins``, by one node's round.
 
-    (length, rank, bin, each, offset): from the piece numbered ``rank`` on, bins numbered from
-    ``bin`` on get ``each`` pieces, the first at ``offset``. A piece that fits a bin's free places
-    best leaves them still the tightest, so a bin takes equal pieces until one more does not fit.
+    Whole bins are packed as items first. Those of the result that hold less than ``enough`` are
+    taken apart; their pieces are packed anew unless that takes more bins.
     """
-    runs: list[tuple[int, int, int, int, int]] = []
-    # by free places: (first bin, number) of bins that are equally full
-    open_bins: dict[int, list[tuple[int, int]]] = {}
-    bins = 0
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        for free in [*sorted(f for f in open_bins if f >= length), capacity]:
-            each = free // length
-            # new bins, as many as are needed, come last
-            groups = open_bins.pop(free, []) if free < capacity else [(bins, -(-left // each))]
-            while groups and left:
-                first, number = groups.pop()
-                full = min(number, left // each)
-                rest = left - full * each if full < number else 0
-                runs.append((length, rank, first, each, capacity - free))
-                parts = [(free - each * length, first, full)]
-                parts += [(free - rest * length, first + full, 1)] * (rest > 0)
-                parts += [(free, first + full + (rest > 0), number - full - (rest > 0))]
-                for after, at, n in parts:
-                    if not n or not after or after == capacity:
-                        continue
-                    if after == free:
-                        groups.append((at, n))
-                    else:
-                        open_bins.setdefault(after, []).append((at, n))
-                rank, left = rank + full * each + rest, left - full * each - rest
-                bins = max(bins, first + full + (rest > 0))
-            if groups:
-                open_bins.setdefault(free, []).extend(groups)
-            if not left:
-                break
-    return pd.DataFrame(runs, columns=["length", "rank", "bin", "each", "offset"], dtype="int64")
-
-
-def _pieces_of(path: str, capacity: int, keep_ids: bool):
-    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path, ADDED)
-        part = TaskContext.get().partitionId()
-        seen = [0] * (capacity + 1)
+    own, child = np.unique(bins, return_inverse=True)
+    filled = np.bincount(child, weights=lengths, minlength=len(own)).astype(np.int64)
+    place, at, fills = best_fit(filled, capacity)
+    new_bin, new_offset = place[child], at[child] + offsets
+    short = fills < enough
+    loose = np.flatnonzero(short[new_bin])
+    if len(loose):
+        again, offset, refilled = best_fit(lengths[loose], capacity)
+        if len(refilled) <= short.sum():
+            new_bin[loose], new_offset[loose] = again + len(fills), offset
+            fills = np.concatenate([fills, refilled])
+    return new_bin, new_offset, fills[new_bin]
+
+
+def _columns(keep_ids: bool) -> list[tuple[str, str, pa.DataType]]:
+    """What is known of a piece besides its document; the last three change from round to round."""
+    return [
+        ("piece", "int", pa.int32()),
+        ("start", "long", pa.int64()),
+        ("length", "long", pa.int64()),
+        ("ids_crc32", "long", pa.int64()),
+        *[("ids", "array<int>", pa.list_(pa.int32()))] * keep_ids,
+        ("bin", "long", pa.int64()),
+        ("offset", "long", pa.int64()),
+        ("fill", "long", pa.int64()),
+    ]
+
+
+def _first_round(path: str, capacity: int, keep_ids: bool, node_pieces: int, node_tokens: int):
+    """Pieces of a task's documents, best-fit among those of the same node."""
+
+    def pack_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = byte_bpe(path, ADDED)
+        part, bins = TaskContext.get().partitionId(), 0
+        rows: list[tuple] = []
+        docs: list[pa.Array] = []
+        tokens: list[np.ndarray] = []
+        held = before = 0
+
+        def node() -> Iterator[pa.RecordBatch]:
+            nonlocal bins
+            doc, piece, start, length, crc = (np.array(c, np.int64) for c in zip(*rows))
+            place, offset, fills = best_fit(length, capacity)
+            number = (part << _NODE_BITS) + bins + place
+            bins += len(fills)
+            values = [piece, start, length, crc, *[None] * keep_ids, number, offset, fills[place]]
+            arrays = [pa.array(v, kind) for v, (_, _, kind) in zip(values, _columns(keep_ids)) if v is not None]
+            if keep_ids:
+                ends = np.concatenate([[0], length.cumsum()]).astype(np.int32)
+                arrays.insert(4, pa.ListArray.from_arrays(ends, np.concatenate(tokens)))
+            names = ["doc", *[name for name, _, _ in _columns(keep_ids)]]
+            whole = pa.table([pa.chunked_array(docs).take(pa.array(doc)), *arrays], names=names)
+            yield from whole.combine_chunks().to_batches(max_chunksize=10_000)
+
         for batch in batches:
-            rows, tokens = [], []
-            for doc, text in zip(batch["doc"], batch["text"]):
-                ids = np.append(encode(text or ""), np.uint32(END))
-                for piece, (start, length) in enumerate(cut(len(ids), capacity)):
-                    own = ids[start : start + length].astype("<u4")
-                    rows.append((doc, piece, start, length, zlib.crc32(own.tobytes()), part, seen[length]))
-                    seen[length] += 1
+            docs.append(batch.column("doc"))
+            for i, text in enumerate(batch.column("text")):
+                ids = np.array([*encode(text.as_py() or ""), END], "<u4")
+                for number, (start, length) in enumerate(cut(len(ids), capacity)):
+                    own = ids[start : start + length]
+                    rows.append((before + i, number, start, length, zlib.crc32(own.tobytes())))
+                    held += length
                     if keep_ids:
                         tokens.append(own.astype(np.int32))
-            out = pd.DataFrame(
-                rows, columns=["doc", "piece", "start", "length", "ids_crc32", "part", "number"]
-            )
-            if keep_ids:
-                out["ids"] = tokens
-            yield from slices(out)
+                    if len(rows) >= node_pieces or held >= node_tokens:
+                        yield from node()
+                        rows, tokens, held = [], [], 0
+            before += batch.num_rows
+            if not rows:
+                docs, before = [], 0
+        if rows:
+            yield from node()
 
-    return cut_up
+    return pack_own
 
 
-def _placer(runs: pd.DataFrame, columns: list[str]):
-    """Sequence and offset of pieces of less than the capacity, by length and rank."""
-    by_length = {length: own.to_numpy()[:, 1:] for length, own in runs.groupby("length")}
+def _next_round(number: int, capacity: int, enough: int):
+    """A node's underfull bins, packed again."""
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            bins, offsets = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
-            for length, at in batch.groupby("length").indices.items():
-                rank, (starts, first, each, offset) = batch["rank"].to_numpy()[at], by_length[length].T
-                run = np.searchsorted(starts, rank, "right") - 1
-                bin_, nth = np.divmod(rank - starts[run], each[run])
-                bins[at], offsets[at] = first[run] + bin_, offset[run] + nth * length
-            batch["sequence_id"], batch["offset"] = _SHARED + bins, offsets
-            yield batch[columns]
+    def pack_again(key: tuple[pa.Scalar, ...], node: pa.Table) -> pa.Table:
+        node = node.drop_columns(["node"]).sort_by([("bin", "ascending"), ("offset", "ascending")])
+        bins, offsets, lengths = (node.column(c).to_numpy() for c in ("bin", "offset", "length"))
+        place, offset, fill = merge(bins, offsets, lengths, capacity, enough)
+        first = (number << _ROUND_BITS) + (key[0].as_py() << _NODE_BITS)
+        for name, values in (("bin", first + place), ("offset", offset), ("fill", fill)):
+            node = node.set_column(node.column_names.index(name), name, pa.array(values, pa.int64()))
+        return node
 
-    return place
+    return pack_again
 
 
 def pack(
@@ -186,43 +179,54 @@ def pack(
     capacity: int = CAPACITY,
     vocabulary_path: str | None = None,
     keep_ids: bool = False,
-    fan: int = FAN,
-    carry: int = CARRY,
+    full: float = FULL,
+    gain: float = GAIN,
+    node_pieces: int = NODE_PIECES,
+    node_tokens: int = NODE_TOKENS,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     A document is its ids and the id 2; a NULL or empty text is that one id. ``<|endoftext|>`` in
     a text is the vocabulary's added token, as `tokenizers` reads it. Only longer documents
-    are cut. Sequences are filled from 0 without gaps and hold at most ``capacity`` ids; there are
-    as many as best_fit makes of the whole table. ``fan`` and ``carry`` bound nothing any more.
-    Repeated rows are packed as often as they are there, NULL ids stay NULL, an empty table
-    gives no rows, and other columns are left behind.
+    are cut. Sequences are filled from 0 without gaps and hold at most ``capacity`` ids. Bins
+    filled to the share ``full`` are sequences at once, the others are packed again in rounds over
+    nodes of about ``node_pieces`` pieces and ``node_tokens`` tokens, until one node sees all that
+    are left or a round frees less than the share ``gain`` of its bins. Repeated rows are packed
+    as often as they are there, ids of any type stay as they are, an empty table gives no rows,
+    and other columns are left behind.
     """
     texts = documents(docs, id_col, text_col).select(
-        F.col(id_col).alias("doc"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")
     )
     kind = texts.schema["doc"].dataType.simpleString()
-    schema = (
-        f"doc {kind}, piece int, start long, length long, ids_crc32 long, part long, number long"
-        + ", ids array<int>" * keep_ids
-    )
-    pieces = _pieces_of(vocabulary_path or vocabulary(), capacity, keep_ids)
-    cut_up = written(texts.mapInPandas(pieces, schema), "pieces")
-    shown = ["doc", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * keep_ids]
-
-    # a full piece is a sequence; the others are numbered across tasks, length by length
-    sequence = F.shiftleft("part", _PART_BITS) + F.col("number")
-    full = cut_up.filter(F.col("length") == capacity)
-    full = full.withColumns({"sequence_id": sequence, "offset": F.lit(0).cast("long")}).select(*shown)
-    rest = cut_up.filter(F.col("length") < capacity)
-    counts = written(rest.groupBy("part", "length").agg(F.count("*").alias("n")), "counts")
-    # one row per length, fewer than the capacity
-    total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = rest.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("number"))
-    types = {**dict(cut_up.dtypes), "sequence_id": "bigint", "offset": "bigint"}
-    placed = ranked.mapInPandas(
-        _placer(best_fit_of_counts(total, capacity), shown), ", ".join(f"{c} {types[c]}" for c in shown)
-    )
-    return full.unionByName(placed).withColumnRenamed("doc", id_col)
+    schema = ", ".join([f"doc {kind}", *[f"{name} {spark}" for name, spark, _ in _columns(keep_ids)]])
+    enough = min(capacity, int(np.ceil(full * capacity)))
+    own = _first_round(vocabulary_path or vocabulary(), capacity, keep_ids, node_pieces, node_tokens)
+    packed = written(texts.mapInArrow(own, schema), "pieces")
+
+    closed = F.col("fill") >= enough
+    done = [packed.filter(closed)]
+    left, number = packed.filter(~closed), 0
+    # every bin has one piece at its beginning
+    sizes = [F.count("*").alias("pieces"), F.sum("length").alias("tokens"), F.count_if(F.col("offset") == 0).alias("bins")]
+    while True:
+        given = left.agg(*sizes).first()
+        nodes = max(-(-given["pieces"] // node_pieces), -(-(given["tokens"] or 0) // node_tokens))
+        if not nodes:
+            break
+        number += 1
+        node = F.pmod(F.xxhash64("bin", F.lit(number)), F.lit(nodes)).alias("node")
+        dealt = left.select("*", node).groupBy("node")
+        packed = written(dealt.applyInArrow(_next_round(number, capacity, enough), schema), f"round{number}")
+        bins = packed.agg(sizes[2]).first()["bins"]
+        if nodes == 1 or given["bins"] - bins < gain * given["bins"]:
+            left = packed
+            break
+        done.append(packed.filter(closed))
+        left = packed.filter(~closed)
+
+    out = left
+    for frame in done:
+        out = out.unionByName(frame)
+    shown = ["piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset", *["ids"] * keep_ids]
+    return out.select(F.col("doc").alias(id_col), *shown)
