@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import exact_dedup, knn, language_id, mixing, packing, quality, simhash, toxicity, url_filter, warc
+from tickwright.llm import alignment, exact_dedup, knn, language_id, mixing, packing, quality, simhash, toxicity, url_filter, warc
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -51,6 +51,10 @@ def op10_voronoi_top_k(spark: Spark, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_cross_tokenizer_alignment(spark: Spark, sf_dir: str) -> DataFrame:
+    return alignment.align_corpus(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -62,6 +66,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_voronoi_top_k": op10_voronoi_top_k,
+    "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
 ORACLES = {
