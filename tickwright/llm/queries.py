@@ -3,7 +3,20 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwright.llm import alignment, exact_dedup, knn, language_id, mixing, packing, quality, simhash, toxicity, url_filter, warc
+from tickwright.llm import (
+    alignment,
+    exact_dedup,
+    knn,
+    language_id,
+    mixing,
+    packing,
+    quality,
+    quantize,
+    simhash,
+    toxicity,
+    url_filter,
+    warc,
+)
 from tickwright.llm.common import table
 
 Spark = SparkSession
@@ -51,6 +64,10 @@ def op10_voronoi_top_k(spark: Spark, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_vector_code_compression(spark: Spark, sf_dir: str) -> DataFrame:
+    return quantize.compress(table(spark, sf_dir, "embeddings"))
+
+
 def op13_cross_tokenizer_alignment(spark: Spark, sf_dir: str) -> DataFrame:
     return alignment.align_corpus(table(spark, sf_dir, "documents"))
 
@@ -66,10 +83,12 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_voronoi_top_k": op10_voronoi_top_k,
+    "op12_vector_code_compression": op12_vector_code_compression,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
 ORACLES = {
+    "op12_vector_code_compression": quantize.compress_sql(),
     "op10_voronoi_top_k": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
