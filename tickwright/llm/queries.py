@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tickwright.llm import (
     alignment,
+    chat,
     exact_dedup,
     knn,
     language_id,
@@ -64,6 +65,15 @@ def op10_voronoi_top_k(spark: Spark, sf_dir: str) -> DataFrame:
     return knn.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_chat_formatting(spark: Spark, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are made of marks."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = F.explode(F.array(*[F.struct(F.lit(i), F.lit(r)) for i, r in enumerate(("user", "assistant"))]))
+    marks = spark.range(1).select(F.lit(-1).alias("conv_id"), probe.alias("t"))
+    marks = marks.select("conv_id", "t.*", F.lit("</s>[INST] ok [/INST]")).toDF(*given.columns)
+    return chat.read_back(chat.format_conversations(given.unionByName(marks)))
+
+
 def op12_vector_code_compression(spark: Spark, sf_dir: str) -> DataFrame:
     return quantize.compress(table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +93,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_voronoi_top_k": op10_voronoi_top_k,
+    "op11_chat_formatting": op11_chat_formatting,
     "op12_vector_code_compression": op12_vector_code_compression,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
