@@ -126,6 +126,59 @@ def test_only_rules_without_a_shorter_one_are_mined(spark):
     assert url_filter.mine(labelled.filter("verdict = 'allow'"), 0.1, 0.9).isEmpty()
 
 
+def plain_rules(labelled, least, confidence):
+    """Every combination of up to four tokens, tried; the sure ones without a shorter sure one."""
+    from itertools import combinations
+
+    tokens = sorted({t for own, _ in labelled for t in own})
+    found = []
+    for size in range(1, 5):
+        for combo in map(set, combinations(tokens, size)):
+            verdicts = [v for own, v in labelled if combo <= set(own)]
+            blocked = verdicts.count("block")
+            sure = blocked >= least and len(verdicts) >= least and blocked / len(verdicts) >= confidence
+            if sure and not any(f <= combo for f in found):
+                found.append(combo)
+    return found
+
+
+def test_verdicts_are_those_of_all_combinations(spark):
+    """The miner with merged tokens blocks what a search through all combinations blocks."""
+    import random
+
+    rng = random.Random(3)
+    hosts = ["bad-shop.com", "shop.com", "bad.edu"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['a/b', 'a/c', 'c'])}/{i}" for i in range(400)]
+    low = [("bad" in u and "/a/" in u and rng.random() < 0.9) or rng.random() < 0.05 for u in urls]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if low[i] else 1) for i in range(300)], "doc_id long, quality int")
+    found = {r.page_id: r for r in url_filter.judge(pages, labels, support=0.05, confidence=0.7, rules=[]).collect()}
+    frame = pages.select("page_id", url_filter.host_of("url").alias("host"), url_filter.path_of("url").alias("path"))
+    tokens = {r.page_id: r.tokens for r in frame.select("page_id", url_filter.tokens().alias("tokens")).collect()}
+    rules = plain_rules([(tokens[i], "block" if low[i] else "allow") for i in range(300)], 20, 0.7)
+    assert rules
+    blocked = {i for i in range(400) if any(r <= set(tokens[i]) for r in rules)}
+    assert {i for i, r in found.items() if r.verdict == "block"} == blocked != set()
+
+
+def test_forty_common_segments_are_mined_in_seconds(spark):
+    """One host whose URLs share forty segments: not 2^40 combinations."""
+    import time
+
+    deep = "/".join(f"s{chr(97 + i // 10)}{chr(97 + i % 10)}" for i in range(40))
+    cases = [(i, f"http://deep.example.edu/{deep}/{i}") for i in range(200)]
+    cases += [(200 + i, f"http://plain.example.edu/x/{200 + i}") for i in range(200)]
+    cases += [(400, "http://other.example.edu/sab/400")]
+    pages = spark.createDataFrame(cases, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 200)) for i in range(400)], "doc_id long, quality int")
+    began = time.monotonic()
+    found = {r.page_id: r for r in url_filter.judge(pages, labels, rules=[], confidence=0.9).collect()}
+    assert time.monotonic() - began < 60
+    # each of the merged tokens is a rule by itself
+    assert {i for i, r in found.items() if r.verdict == "block"} == {*range(200), 400}
+    assert len(found[400].mined.split()) == 1 and "p:sab" in found[400].mined.split("|")
+
+
 def test_few_labels_give_no_rules(spark):
     pages, labels = planted(spark)
     found = url_filter.judge(pages, labels.filter("doc_id < 30"), confidence=0.9)

@@ -3,7 +3,7 @@
 Given rules judge the URLs they fit, the longest rule winning. For all others rules are mined:
 URLs whose document is labelled are transactions of their tokens, FP-growth finds the
 combinations that are frequent among them, and those that imply a document of low quality
-with enough confidence block. A mined rule stands in an inverted index under its rarest token;
+with enough confidence block. Tokens that always come together are mined as one item. A mined rule stands in an inverted index under its rarest token;
 a URL is looked up by its tokens and blocked if it holds all tokens of a rule found.
 """
 
@@ -83,11 +83,39 @@ def document_of() -> Column:
     return F.regexp_extract("path", r"/([0-9]{1,18})[^/]*/?$", 1).try_cast("long")
 
 
+def items_of(labelled: DataFrame, least: float) -> DataFrame:
+    """(token, item): tokens of at least so many labelled URLs, those of the very same URLs as one item.
+
+    Such tokens are interchangeable in every combination, which is as frequent and as sure with any
+    of them; an item is named after all of its tokens. Without this a site of long paths would
+    double the combinations with each segment. Two 64-bit sums over the URLs' hashes and their number
+    tell sets of URLs apart. A URL of n tokens counts for n, so there are no more rows
+    than the tokens of an average URL divided by the support.
+    """
+    words = labelled.withColumn("row", F.monotonically_increasing_id())
+    words = words.select("row", F.explode("tokens").alias("token"))
+    where = F.struct(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("row")).alias("mixed"),
+        F.sum(F.hash("row", F.lit(1)).cast("long")).alias("sum"),
+    )
+    seen = words.groupBy("token").agg(where.alias("urls")).filter(F.col("urls.n") >= least)
+    same = seen.groupBy("urls").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    return same.select(F.explode("tokens").alias("token"), F.array_join("tokens", "|").alias("item"))
+
+
+def in_items(sets: DataFrame, items: DataFrame, *keys: str) -> DataFrame:
+    """The rows with the items of their ``tokens`` that they hold any token of; ``keys`` are unique."""
+    words = sets.select(*keys, F.explode_outer("tokens").alias("token"))
+    held = words.join(items, "token", "left").groupBy(*keys).agg(F.collect_set("item").alias("items"))
+    return held.withColumn("items", F.array_sort("items"))
+
+
 def mine(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
     """(tokens, confidence): combinations that imply "block", none of which contains another.
 
-    ``labelled`` has tokens and verdict. What FP-growth returns is bounded by the support, not
-    by the number of URLs.
+    ``labelled`` has tokens and verdict. FP-growth returns every frequent combination, so tokens
+    should not be ones that always come together (``items_of``).
     """
     mark = F.concat(F.lit("verdict:"), F.col("verdict"))
     rows = labelled.select(F.concat("tokens", F.array(mark)).alias("items"))
@@ -140,7 +168,9 @@ def judge(
     least: int = LEAST,
     confidence: float = CONFIDENCE,
 ) -> DataFrame:
-    """One row per row of ``pages``: id, host, path, rule, verdict, mined (tokens of a mined rule).
+    """One row per row of ``pages``: id, host, path, rule, verdict, mined (items of a mined rule).
+
+    A mined rule's items are parted by blanks, the interchangeable tokens of an item by ``|``.
 
     ``labels`` has doc_id and quality (0 or 1; the lowest counts if a document has several).
     A NULL url, or one without ``://``, has an empty host and path. URLs that no given rule
@@ -166,10 +196,17 @@ def judge(
         )
         number = labelled.count()
         if number >= least:
+            support = max(support, least / number)
+            items = written(items_of(labelled, support * number), "items")
+            numbered = labelled.withColumn("row", F.monotonically_increasing_id())
+            marked = in_items(numbered, items, "row", "verdict")
+            found = mine(marked.select(F.col("items").alias("tokens"), "verdict"), support, confidence)
             # equal token sets are matched once, however many URLs have them
-            sets = rows.filter("given is null").groupBy("tokens").agg(F.count("*").alias("urls"))
-            found = mine(labelled, max(support, least / number), confidence)
-            mined = written(matches(sets, found), "matched")
+            sets = rows.filter("given is null").select("tokens").distinct()
+            sets = written(in_items(sets, items, "tokens"), "sets")
+            held = sets.select(F.col("items").alias("tokens")).distinct()
+            hits = matches(held, found).withColumnRenamed("tokens", "items")
+            mined = written(sets.join(hits, "items").select("tokens", "mined"), "matched")
     if mined is None:
         rows = rows.withColumn("mined", F.lit(None).cast("string"))
     else:
