@@ -9,15 +9,17 @@ SHOWN = ("query_id", "rank", "vec_id", "score")
 
 
 def brute(vectors, every, top):
-    whole = {i: np.floor(1024 * np.array(v, float)).astype(object) for i, v in vectors}
+    """By rows: every row but the query's own is a candidate, one without an id comes last in a tie."""
+    whole = [(i, np.floor(1024 * np.array(v, float)).astype(object)) for i, v in vectors]
     out = []
-    for q in sorted(i for i in whole if i % every == 0):
-        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:top]
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
-    return out
+    for n, (q, v) in enumerate(whole):
+        if q is not None and q % every == 0:
+            best = sorted((-int(v @ w), i is None, i or 0) for m, (i, w) in enumerate(whole) if m != n)[:top]
+            out += [(q, r, None if none else i, -s) for r, (s, none, i) in enumerate(best, 1)]
+    return sorted(out, key=lambda r: tuple((x is not None, x) for x in r))
 
 
-@pytest.mark.parametrize("blocks", [(7, 2), (10_000, 10_000)])
+@pytest.mark.parametrize("blocks", [(7 * 64, 2 * 64), (1 << 20, 1 << 20), (40 * 64, 4 * 64)])
 @pytest.mark.parametrize("kind", ["clusters", "copies"])
 def test_equals_brute_force(spark, blocks, kind):
     rng = np.random.default_rng(5)
@@ -26,14 +28,23 @@ def test_equals_brute_force(spark, blocks, kind):
     points = centres[rng.integers(0, 6, 300)] + rng.normal(size=(300, 8)) * noise
     if kind == "copies":
         points = np.round(points, 1)
-    vectors = [(i, p.tolist()) for i, p in enumerate(points)]
+    # ids repeat with other vectors and with the same one, and some rows have none
+    ids = [i if i % 7 else 20 * (i // 70) for i in range(300)]
+    vectors = [(None if i % 31 == 5 else n, p.tolist()) for i, (n, p) in enumerate(zip(ids, points))]
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
-    found = top_k(frame, every=20, pivots=5, data_block=blocks[0], query_block=blocks[1])
+    found = top_k(frame, every=20, pivots=5, data_bytes=blocks[0], query_bytes=blocks[1])
     assert rows(found, *SHOWN) == brute(vectors, 20, 10)
 
 
+def test_rows_of_one_id_are_all_candidates(spark):
+    frame = spark.createDataFrame(
+        [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [5.0, 0.0])], "vec_id long, embedding array<double>"
+    )
+    assert rows(top_k(frame), *SHOWN) == [(0, 1, 1, 5 * 2**20), (0, 2, 1, 2**20)]
+
+
 def test_far_cells_are_not_sent(spark, monkeypatch):
-    """Queries near one pivot do not need the vectors that point the other way."""
+    """Queries near one pivot do not need the vectors that point the other way; the others come once."""
     from tickwright.llm import knn
 
     sent = []
@@ -45,7 +56,7 @@ def test_far_cells_are_not_sent(spark, monkeypatch):
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
     found = top_k(frame, every=10, pivots=8)
     assert rows(found, *SHOWN) == brute(vectors, 10, 10)
-    assert sent[0].select("id").distinct().count() == 60
+    assert sent[0].select("row").distinct().count() == sent[0].count() == 60
 
 
 def test_nulls_ties_and_huge_components(spark):
@@ -64,23 +75,11 @@ def test_nulls_ties_and_huge_components(spark):
         (200, []),
     ]
     frame = spark.createDataFrame(cases, "vec_id long, embedding array<double>").withColumns(
-        {"id": F.lit(1), "cell": F.lit(2), "distance": F.lit("x")}
+        {"id": F.lit(1), "cell": F.lit(2), "distance": F.lit("x"), "row": F.lit(3), "group": F.lit(4)}
     )
-    k = 1024 * 1024
-    assert rows(top_k(frame), *SHOWN) == [
-        (0, 1, 1, 5 * k),
-        (0, 2, 100, 3 * k // 2),
-        (0, 3, 2, k),
-        (0, 4, 200, 0),
-        (100, 1, 0, 3 * k // 2),
-        (100, 2, 1, 3 * k // 2),
-        (100, 3, 2, k // 2),
-        (100, 4, 200, 0),
-        (200, 1, 0, 0),
-        (200, 2, 1, 0),
-        (200, 3, 2, 0),
-        (200, 4, 100, 0),
-    ]
+    finite = [(i, [*v, 0.0, 0.0][:2]) for i, v in cases if v is not None and all(x is not None and abs(x) < inf for x in v)]
+    assert len(finite) == 7
+    assert rows(top_k(frame), *SHOWN) == brute(finite, 100, 10)
     huge = spark.createDataFrame([(0, [1e9]), (1, [1e9]), (2, [-1e9])], "vec_id long, embedding array<double>")
     assert rows(top_k(huge), "vec_id", "score") == [(1, 2**63 - 1), (2, -(2**63))]
     exact = spark.createDataFrame([(0, [1e5, 3e-3]), (1, [1e5, 1e-3])], "vec_id long, embedding array<double>")

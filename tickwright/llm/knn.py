@@ -23,26 +23,29 @@ SCALE = 1024
 #: Pivots, and how many vectors are drawn for each to choose them from. These, and each pivot's
 #: radius and k + 1 distances, are all the driver sees.
 PIVOTS, DRAWN = 16, 64
-#: Vectors and queries that one task compares.
-DATA_BLOCK, QUERY_BLOCK = 20_000, 1_000
+#: Bytes of vectors and of queries that one task compares.
+DATA_BYTES, QUERY_BYTES = 10 << 20, 1 << 19
+#: Where the rows without an id stand among others.
+_LAST = (1 << 63) - 1
 
 _CHUNK = 4_096
 _SLACK = 1e-6
 
 
 def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, vec): floor(scale * x) of every vector without NULL or non-finite components.
+    """(row, id, vec): floor(scale * x) of every vector without NULL or non-finite components.
 
-    Of several rows with one id the smallest vector takes part, rows without id do not.
+    Every row has a number of its own, which is odd if it has no id; such an id is the largest.
     """
     values = F.col("vec").cast("array<double>")
     finite = F.forall(values, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
     rows = documents(rows, id_col, vector_col).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec")
     )
-    rows = rows.filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & finite)
-    rows = rows.select("id", F.transform(values, lambda x: F.floor(x * scale)).alias("vec"))
-    return rows.groupBy("id").agg(F.min("vec").alias("vec"))
+    rows = rows.filter(F.col("vec").isNotNull() & finite)
+    number = F.monotonically_increasing_id() * 2 + F.col("id").isNull().cast("long")
+    whole = F.transform(values, lambda x: F.floor(x * scale))
+    return rows.select(number.alias("row"), F.coalesce("id", F.lit(_LAST)).alias("id"), whole.alias("vec"))
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
@@ -98,64 +101,77 @@ class Cells:
             self.reach[group] = (radius + kth) * (1 + _SLACK) + _SLACK
 
 
-def best_of_block(q_ids, q, x_ids, x, top: int) -> pd.DataFrame:
-    """The ``top`` vectors of each query, ties to smaller ids; x_ids must be sorted."""
+def best_of_block(q_rows, q, x_rows, x_ids, x, top: int) -> pd.DataFrame:
+    """The ``top`` vectors of each query but its own row, ties to smaller ids; x_ids must be sorted."""
     bound = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, q.shape[1])
     if bound >= 2**53:  # doubles would round
         q, x = (np.vectorize(int, otypes=[object])(m) if m.size else m for m in (q, x))
-    rows, ids, scores = [], [], []
+    queries, places, scores = [], [], []
     for at in range(0, len(x), _CHUNK):
-        own = x_ids[at : at + _CHUNK]
+        own = x_rows[at : at + _CHUNK]
         product = q @ x[at : at + _CHUNK].T
-        place = np.searchsorted(own, q_ids)
-        place[place == len(own)] = 0
-        mine = np.flatnonzero(own[place] == q_ids)
+        order = np.argsort(own)
+        place = order[np.searchsorted(own, q_rows, sorter=order) % len(own)]
+        mine = np.flatnonzero(own[place] == q_rows)
         valid = np.ones(product.shape, bool)
         valid[mine, place[mine]] = False
         if product.shape[1] > top + 1 and product.dtype != object:
             seen = np.where(valid, product, -np.inf)
             valid &= product >= np.partition(seen, -top, axis=1)[:, [-top]]
         r, c = np.nonzero(valid)
-        rows.append(r)
-        ids.append(own[c])
+        queries.append(r)
+        places.append(c + at)
         score = product[r, c]
         if score.dtype == object:
             score = np.clip(score, -(2**63), 2**63 - 1)
         scores.append(score.astype(np.int64))
-    found = pd.DataFrame(
-        {
-            "row": np.concatenate(rows) if rows else np.zeros(0, int),
-            "vec_id": np.concatenate(ids) if ids else np.zeros(0, int),
-            "score": np.concatenate(scores) if scores else np.zeros(0, int),
-        }
-    ).sort_values(["row", "score", "vec_id"], ascending=[True, False, True])
-    found = found.groupby("row", sort=False).head(top)
-    return pd.DataFrame(
-        {"query_id": q_ids[found["row"]], "vec_id": found["vec_id"], "score": found["score"]}
-    )
+    r, c, score = (np.concatenate(own) if own else np.zeros(0, np.int64) for own in (queries, places, scores))
+    found = pd.DataFrame({"query": r, "vec_id": x_ids[c], "vec_row": x_rows[c], "score": score})
+    found = found.sort_values(["query", "score", "vec_id", "vec_row"], ascending=[True, False, True, True])
+    found = found.groupby("query", sort=False).head(top)
+    return found.assign(query_row=q_rows[found["query"]])[["query_row", "vec_id", "vec_row", "score"]]
 
 
 def _solver(width: int, top: int):
     def solve(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(data):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        data = data.sort_values("id")
-        return best_of_block(
-            queries["id"].to_numpy(),
-            _matrix(queries["vec"], width),
-            data["id"].to_numpy(),
-            _matrix(data["vec"], width),
-            top,
-        )
+        """Each cell's queries against the vectors sent for that cell."""
+        found = [pd.DataFrame({c: [] for c in ("query_row", "vec_id", "vec_row", "score")}, dtype="int64")]
+        if len(queries) and len(data):
+            data = data.sort_values(["id", "row"])
+            x, x_ids, x_rows = _matrix(data["vec"], width), data["id"].to_numpy(), data["row"].to_numpy()
+            sent = pd.DataFrame({"cell": data["cells"].to_numpy(), "at": np.arange(len(data))}).explode("cell")
+            sent = sent.groupby("cell")["at"].apply(lambda own: own.to_numpy(np.int64))
+            # cells that were sent the same vectors are solved together
+            queries = queries.assign(same=[sent[c].tobytes() if c in sent else b"" for c in queries["cell"]])
+            for same, own in queries.groupby("same", sort=False):
+                at = np.frombuffer(same, np.int64)
+                if len(at):
+                    q, q_rows = _matrix(own["vec"], width), own["row"].to_numpy()
+                    found.append(best_of_block(q_rows, q, x_rows[at], x_ids[at], x[at], top))
+        return pd.concat(found, ignore_index=True).astype("int64")
 
     return solve
 
 
+def _groups(counts: dict[int, int], size: int) -> list[list[int]]:
+    """Cells whose queries are solved by one task: small ones together, none with more than ``size``
+    but those that have more by themselves."""
+    groups: list[list[int]] = []
+    held = size
+    for cell, n in sorted(counts.items(), key=lambda c: (-c[1], c[0])):
+        if held + n > size:
+            groups.append([])
+            held = 0
+        groups[-1].append(cell)
+        held += n
+    return groups
+
+
 def _blocks(counts: dict[int, int], size: int):
     """An expression: the number of blocks of a group with so many rows."""
     out = F.lit(1)
     for group, n in counts.items():
-        out = F.when(F.col("cell") == group, F.lit(max(1, -(-n // size)))).otherwise(out)
+        out = F.when(F.col("group") == group, F.lit(max(1, -(-n // size)))).otherwise(out)
     return out
 
 
@@ -168,16 +184,17 @@ def top_k(
     top: int = TOP,
     scale: int = SCALE,
     pivots: int = PIVOTS,
-    data_block: int = DATA_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    data_bytes: int = DATA_BYTES,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` largest inner products of each query.
 
-    Queries are the rows whose id ``every`` divides, candidates all others of another id; a
-    query with fewer candidates has fewer ranks. Ties go to the smaller id. NULL vectors and
-    those with a NULL or non-finite component take no part, nor do rows without an id; of rows
-    with one id the smallest vector does; shorter vectors are filled up with zeros. Without
-    queries or candidates there are no rows. Components and scores end at the limits of 64 bits.
+    Queries are the rows whose id ``every`` divides, candidates all other rows, those of the same id
+    and those without one included: of rows that share an id each is a query, and a
+    candidate of the others. A query with fewer candidates has fewer ranks. Ties go to the smaller
+    id, NULL last. NULL vectors and those with a NULL or non-finite component take no part; shorter
+    vectors are filled up with zeros. Without queries or candidates there are no rows.
+    Components and scores end at the limits of 64 bits.
     """
     spark = rows.sparkSession
     vectors = written(whole_vectors(rows, id_col, vector_col, scale), "vectors")
@@ -185,44 +202,55 @@ def top_k(
     width, largest = vectors.agg(F.max(F.size("vec")), F.max(square)).first()
     if width is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    # a bounded sample drawn by a hash of the ids
-    drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(DRAWN * pivots).toPandas()
+    data_block, query_block = (max(1, size // (8 * max(1, width))) for size in (data_bytes, query_bytes))
+    # a bounded sample drawn by a hash of the rows' ids
+    drawn = vectors.orderBy(F.xxhash64("id"), "row").limit(DRAWN * pivots).toPandas()
     cells = Cells(spread_out(_matrix(drawn["vec"], width), pivots), largest)
-    queries = _assigned(vectors.filter(F.col("id") % every == 0), cells, of_queries=True)
-    queries = written(queries, "queries")
-    groups = queries.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n"))
-    groups = groups.toPandas()
+    asking = (F.col("row") % 2 == 0) & (F.col("id") % every == 0)
+    queries = written(_assigned(vectors.filter(asking), cells, of_queries=True), "queries")
+    asked = queries.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n"))
+    asked = asked.toPandas()
 
     data = _assigned(vectors, cells, of_queries=False)
     rank = F.row_number().over(Window.partitionBy("cell").orderBy("distance"))
     near = data.select("cell", "distance").withColumn("r", rank).filter(F.col("r") <= top + 1)
-    cells.bound(dict(zip(groups["cell"], groups["radius"])), near.toPandas(), top + 1)
-
-    sent = written(_needed(vectors, cells), "sent")
-    sizes = {r["cell"]: r["n"] for r in sent.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    asked = dict(zip(groups["cell"].tolist(), groups["n"].tolist()))
-    data_blocks, query_blocks = _blocks(sizes, data_block), _blocks(asked, query_block)
-
-    def dealt(frame: DataFrame, own: str, other: str, own_blocks, other_blocks) -> DataFrame:
+    cells.bound(dict(zip(asked["cell"], asked["radius"])), near.toPandas(), top + 1)
+
+    numbers = dict(zip(asked["cell"].tolist(), asked["n"].tolist()))
+    groups = _groups(numbers, query_block)
+    sent = written(_needed(vectors, cells, groups), "sent")
+    sizes = {r["group"]: r["n"] for r in sent.groupBy("group").agg(F.count("*").alias("n")).collect()}
+    totals = {g: sum(numbers[c] for c in own) for g, own in enumerate(groups)}
+    data_blocks, query_blocks = _blocks(sizes, data_block), _blocks(totals, query_block)
+    group = F.lit(0)
+    for g, own in enumerate(groups):
+        group = F.when(F.col("cell").isin(own), F.lit(g)).otherwise(group)
+
+    def dealt(frame: DataFrame, cell: str, own: str, other: str, own_blocks, other_blocks) -> DataFrame:
         return frame.select(
+            "row",
             "id",
             "vec",
-            "cell",
-            F.pmod(F.xxhash64("id"), own_blocks).alias(own),
+            cell,
+            "group",
+            F.pmod(F.xxhash64("row"), own_blocks).alias(own),
             F.explode(F.sequence(F.lit(0).cast("long"), other_blocks.cast("long") - 1)).alias(other),
         )
 
-    keys = ["cell", "data_part", "query_part"]
-    left = dealt(queries, "query_part", "data_part", query_blocks, data_blocks)
-    right = dealt(sent, "data_part", "query_part", data_blocks, query_blocks)
+    keys = ["group", "data_part", "query_part"]
+    grouped = queries.withColumn("group", group)
+    left = dealt(grouped, "cell", "query_part", "data_part", query_blocks, data_blocks)
+    right = dealt(sent, "cells", "data_part", "query_part", data_blocks, query_blocks)
     solved = (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))
-        .applyInPandas(_solver(width, top), "query_id long, vec_id long, score long")
+        .applyInPandas(_solver(width, top), "query_row long, vec_id long, vec_row long, score long")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "vec_row")
     ranked = solved.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    ids = queries.select(F.col("row").alias("query_row"), F.col("id").alias("query_id"))
+    named = F.when(F.col("vec_row") % 2 == 0, F.col("vec_id")).alias("vec_id")
+    return ranked.join(ids, "query_row").select("query_id", "rank", named, "score")
 
 
 def _assigned(vectors: DataFrame, cells: Cells, of_queries: bool) -> DataFrame:
@@ -234,15 +262,15 @@ def _assigned(vectors: DataFrame, cells: Cells, of_queries: bool) -> DataFrame:
         for batch in batches:
             far = local.of_queries(batch["vec"]) if of_queries else local.of_data(batch["vec"])
             cell = far.argmin(1) if len(batch) else np.zeros(0, int)
-            batch = batch if of_queries else batch[["id"]]
+            batch = batch if of_queries else batch[["row"]]
             yield batch.assign(cell=cell.astype("int32"), distance=far[np.arange(len(batch)), cell])
 
-    vec = "vec array<long>, " * of_queries
-    return vectors.mapInPandas(assign, f"id long, {vec}cell int, distance double")
+    own = "id long, vec array<long>, " * of_queries
+    return vectors.mapInPandas(assign, f"row long, {own}cell int, distance double")
 
 
-def _needed(vectors: DataFrame, cells: Cells) -> DataFrame:
-    """(id, vec, cell): each vector for every group of queries that may need it."""
+def _needed(vectors: DataFrame, cells: Cells, groups: list[list[int]]) -> DataFrame:
+    """(row, id, vec, group, cells): each vector once for every group with cells that may need it."""
     state = vars(cells)
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -250,7 +278,13 @@ def _needed(vectors: DataFrame, cells: Cells) -> DataFrame:
         vars(local).update(state)
         for batch in batches:
             near = local.of_data(batch["vec"]) <= local.reach
-            yield batch.assign(cell=[np.flatnonzero(r).astype(np.int32) for r in near])
-
-    chosen = vectors.mapInPandas(choose, "id long, vec array<long>, cell array<int>")
-    return chosen.select("id", "vec", F.explode("cell").alias("cell"))
+            for group, own in enumerate(groups):
+                wanted = near[:, own]
+                some = wanted.any(axis=1)
+                names = np.array(own, np.int32)
+                chosen = batch[some].assign(group=np.int32(group))
+                chosen["cells"] = pd.Series([names[r] for r in wanted[some]], chosen.index, object)
+                yield chosen
+
+    spec = "row long, id long, vec array<long>, group int, cells array<int>"
+    return vectors.mapInPandas(choose, spec)

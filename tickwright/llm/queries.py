@@ -102,19 +102,20 @@ ORACLES = {
     "op12_vector_code_compression": quantize.compress_sql(),
     "op10_voronoi_top_k": """
         WITH vectors AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+            SELECT row_number() OVER () AS nth, vec_id,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
             FROM embeddings
             WHERE embedding IS NOT NULL
               AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
         ),
         scored AS (
-            SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+            SELECT q.nth, q.vec_id AS query_id, d.vec_id AS vec_id,
                    list_inner_product(q.v, d.v)::BIGINT AS score
-            FROM vectors q JOIN vectors d ON q.vec_id <> d.vec_id
+            FROM vectors q JOIN vectors d ON q.nth <> d.nth
             WHERE q.vec_id % 100 = 0
         )
         SELECT query_id,
-               row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               row_number() OVER (PARTITION BY nth ORDER BY score DESC, vec_id)::INTEGER AS rank,
                vec_id, score
         FROM scored
         QUALIFY rank <= 10
