@@ -66,3 +66,18 @@ def test_odd_rows_and_empty_tables(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, SMALL), name)
     assert docs.count() == 0
+
+
+def test_map_columns_and_rows_that_repeat(spark):
+    """Columns without an order pass; of rows with equal id and text one stays, whatever else differs."""
+    texts = [(i, f"the cat and the dog of house {i} " * 5, "en", "s") for i in range(9)]
+    frame = spark.createDataFrame([*texts, *texts[:4], *[texts[5]] * 40], "doc_id long, text string, lang string, source string")
+    frame = frame.withColumns({"tags": F.create_map("source", F.rand(3)), "n_chars": F.length("text")})
+    docs = frame
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SMALL), name)
+        assert docs.columns == frame.columns
+        if name in ("exact_dedup", "simhash_near_dedup"):
+            assert docs.count() == docs.select("doc_id").distinct().count()
+    assert corpus_pipeline.STAGES[1][1](spark, frame, SMALL).count() == 9
+    assert corpus_pipeline.pack(spark, docs, SMALL).filter("piece = 0").count() == docs.count()

@@ -3,7 +3,7 @@
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwright.session import scratch, written
@@ -62,16 +62,18 @@ def text_sha(text: Column | str) -> Column:
 def keep_addressed(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """The rows of ``docs`` at the addresses ``marks.address``, of repeated rows one each.
 
-    ``marks`` holds no address twice. Texts move once: the ranks among repeats use the
-    partitioning of the join.
+    ``marks`` holds no address twice. Of rows with equal id and text, that with the smallest other
+    columns, written as JSON, stays. Repeats are reduced before the only shuffle of the texts, whose
+    partitioning the join uses, so that no task gets all repeats of one row.
     """
+    at, kept = fresh(docs, "address"), fresh(docs, "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    at, number = fresh(docs, "address"), fresh(docs, "number")
-    rows = docs.withColumn(at, address("doc_id", text_sha("text")))
-    stay = rows.join(marks.select(F.col("address").alias(at)), at, "left_semi")
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    rank = F.row_number().over(Window.partitionBy(at).orderBy(*others))
-    return stay.withColumn(number, rank).filter(F.col(number) == 1).select(*columns)
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "doc_id")]
+    order = F.to_json(F.struct(*others)) if others else F.lit(0)
+    rows = docs.groupBy(address("doc_id", text_sha("text")).alias(at))
+    one = rows.agg(F.min_by(F.struct(*columns), order).alias(kept))
+    stay = one.join(marks.select(F.col("address").alias(at)), at, "left_semi")
+    return stay.select(*[F.col(kept)[c].alias(c) for c in docs.columns])
 
 
 def slices(frame: pd.DataFrame, rows: int = 10_000) -> Iterator[pd.DataFrame]:
