@@ -74,3 +74,12 @@ def test_nulls_repeats_and_empties(spark):
     assert mix(docs.limit(0)).count() == 0 and mixed(docs.limit(0)).count() == 0
     silent = docs.filter("text is null or text = ''")
     assert mixed(silent).count() == 2
+
+
+def test_a_budget_beyond_the_limit_is_refused(spark):
+    """Ten documents of ten tokens, two passes at most: 200 tokens fit, more do not."""
+    docs = spark.createDataFrame([(i, f"s{i % 2}", "a b c d e f g h i j") for i in range(10)], "doc_id long, source string, text string")
+    taken = mix(docs, repeats=2, budget=200)
+    assert taken.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 2
+    with pytest.raises(ValueError, match="passes"):
+        mix(docs, repeats=2, budget=201)

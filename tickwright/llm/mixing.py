@@ -51,7 +51,9 @@ def _measures(sources: DataFrame, total: int, alpha: float) -> tuple[float, floa
 def weights(sources: DataFrame, entropy: float, repeats: float, budget: int | None) -> DataFrame:
     """Add weight, quota, whole (passes) and rest (tokens) to a table of source and tokens.
 
-    ``budget`` None is the smallest one that uses every source whole. The driver sees sums
+    ``budget`` None is the smallest one that uses every source whole. One that even weights in
+    proportion to the sources cannot meet without more than ``repeats`` passes is an error. Sources
+    that are more even than ``entropy`` by themselves keep their proportions. The driver sees sums
     over the sources only.
     """
     total, number = sources.filter("tokens > 0").agg(F.sum("tokens"), F.count("*")).first()
@@ -60,6 +62,9 @@ def weights(sources: DataFrame, entropy: float, repeats: float, budget: int | No
             "*", "0D AS weight", "CAST(0 AS LONG) AS quota", "CAST(1 AS LONG) AS whole", "CAST(0 AS LONG) AS rest"
         )
 
+    if budget is not None and budget > repeats * total:
+        raise ValueError(f"{budget} tokens need more than {repeats} passes over {total}")
+
     def size(alpha: float) -> float:
         if budget is not None:
             return float(budget)
