@@ -6,7 +6,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tickwright.functions.prices import silver_features, with_spread
 from tickwright.operators.regression import LinearModel
 from tickwright.operators.scoring import score_ticks
-from tickwright.operators.windows import window_stats
+from tickwright.operators.windows import overlapping, panes, widen, window_stats
 from tickwright.settings import WATERMARK
 from tickwright.sinks.tables import write_batch, write_snapshot
 from tickwright.sources.ticks import with_watermark
@@ -86,16 +86,19 @@ def start_stats_snapshot(
 ):
     """Keep a snapshot table of all windows ever seen.
 
-    Complete mode: late ticks still count, and the state keeps every window. For streams
+    Complete mode: late ticks still count, and the state keeps every window, or with a slide
+    every pane, from which each batch puts the overlapping windows together. For streams
     without end prefer ``start_stats_changes``.
     """
+    sliding = overlapping(ticks.sparkSession, size, slide)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_snapshot(batch, path, STATS_ORDER)
+        write_snapshot(widen(batch, size, slide) if sliding else batch, path, STATS_ORDER)
 
+    watermarked = with_watermark(ticks, WATERMARK)
+    kept = panes(watermarked, size, slide) if sliding else window_stats(watermarked, size, slide)
     writer = (
-        streaming_stats(ticks, size, slide)
-        .writeStream.queryName(STATS_SNAPSHOT)
+        kept.writeStream.queryName(STATS_SNAPSHOT)
         .outputMode("complete")
         .foreachBatch(store)
     )
