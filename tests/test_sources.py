@@ -10,8 +10,9 @@ from tickwright.functions.prices import silver_features, with_spread
 from tickwright.operators.windows import window_stats
 from tickwright.schemas import HISTORY, PREDICTIONS, PROGRESS, RUN_LOG, SILVER, STATS, TICK
 from tickwright.sinks import tables as sinks
+from tickwright.sinks.batches import write_batch
 from tickwright.sinks.messages import publish
-from tickwright.sources import files, logs, payload, tables
+from tickwright.sources import batches, files, logs, payload, tables
 from tickwright.sources.ticks import message_stream, tick_stream
 
 T0 = datetime(2024, 1, 1)
@@ -65,10 +66,14 @@ def stats(spark, n, first=0):
     return window_stats(ticks(spark, n, first))
 
 
-def test_snapshot_is_replaced_and_old_versions_go(spark, path):
-    for n in (10, 20, 30, 40, 50):
-        assert sinks.write_snapshot(stats(spark, n), path("stats"), ["window_start", "symbol"])
-    assert tables.snapshot_versions(spark, path("stats")) == [2, 3, 4]
+def test_snapshot_is_replaced_and_old_versions_go_by_age(spark, path):
+    order = ["window_start", "symbol"]
+    for n in (10, 20, 30, 40):
+        assert sinks.write_snapshot(stats(spark, n), path("stats"), order)
+    # readers of any of them may still be busy
+    assert tables.snapshot_versions(spark, path("stats")) == [0, 1, 2, 3]
+    assert sinks.write_snapshot(stats(spark, 50), path("stats"), order, grace=0)
+    assert tables.snapshot_versions(spark, path("stats")) == [4]
     got = [r["window_start"] for r in tables.read_stats(spark, path("stats")).collect()]
     assert got == [T0 + timedelta(seconds=10 * i) for i in range(5)]
 
@@ -107,10 +112,10 @@ def test_stats_fall_back_to_the_newest_part_files(spark, path):
 
 def test_last_change_of_a_window_wins(spark, path):
     assert tables.read_stats_changes(spark, path("changes")).count() == 0
-    sinks.write_batch(stats(spark, 5), path("changes"), 9)
-    sinks.write_batch(stats(spark, 20), path("changes"), 10)
-    sinks.write_batch(stats(spark, 0), path("changes"), 11)
-    sinks.write_batch(stats(spark, 20), path("changes"), 10)
+    write_batch(stats(spark, 5), path("changes"), 9)
+    write_batch(stats(spark, 20), path("changes"), 10)
+    write_batch(stats(spark, 0), path("changes"), 11)
+    write_batch(stats(spark, 20), path("changes"), 10)
     got = tables.read_stats_changes(spark, path("changes"))
     assert got.columns == STATS.fieldNames()
     assert sorted((r["min_close"], r["n_obs"]) for r in got.collect()) == [(0.0, 10), (10.0, 10)]
@@ -128,40 +133,58 @@ def scored(spark, n, first=0, column="pred_next_close"):
 def test_only_the_newest_batches_are_read(spark, path):
     assert tables.read_predictions(spark, path("p")).schema == PREDICTIONS
     for batch in range(5):
-        sinks.write_batch(scored(spark, 2, 2 * batch), path("p"), batch)
-    sinks.write_batch(scored(spark, 2, 8), path("p"), 4)  # the same batch again
+        write_batch(scored(spark, 2, 2 * batch), path("p"), batch)
+    write_batch(scored(spark, 2, 8), path("p"), 4)  # the same batch again
     got = tables.read_predictions(spark, path("p"), 3, row_id="id")
     assert got.columns == [*PREDICTIONS.fieldNames(), "id"]
     assert sorted((r["batch_id"], r["close"]) for r in got.collect()) == [
         (2, 4.0), (2, 5.0), (3, 6.0), (3, 7.0), (4, 8.0), (4, 9.0)
     ]
-    assert all("batch_id=00000001" not in name for name in got.inputFiles())
+    older = batches.entries(spark, path("p"))[1].attempt
+    assert all(older not in name for name in got.inputFiles())
     assert tables.read_predictions(spark, path("p"), None).count() == 10
 
 
 def test_newest_batches_reach_over_groups(spark, path):
     ids = [0, 7, 998, 999, 1000, 2500]
     for batch in ids:
-        files.write_text(spark, tables.batch_folder(path("p"), batch) + "/_SUCCESS", "")
-    # batches that are still being written are not there yet
-    for batch in (3, 2501):
-        files.write_text(spark, tables.batch_folder(path("p"), batch) + "/part", "")
+        files.mark(spark, batches.Entry(batch, 0, f"try{batch}").marker(path("p")))
+    # tries without an entry are not there yet
+    files.write_text(spark, batches.folder(path("p"), "try2501") + "/part", "")
 
     def newest(n):
-        return [int(f[-8:]) for f in tables.newest_batches(spark, path("p"), n)]
+        return list(batches.entries(spark, path("p"), newest=n))
 
     assert newest(1) == [2500] and newest(4) == [998, 999, 1000, 2500] and newest(30) == ids
+    assert list(batches.entries(spark, path("p"), after=999)) == [1000, 2500]
 
 
 def test_legacy_predictions_are_offered_under_the_new_name(spark, path):
-    sinks.write_batch(scored(spark, 2, column="pred_close"), path("p"), 0)
-    files.write_text(spark, tables.batch_folder(path("p"), 0) + "/bad.parquet", "bad")
+    write_batch(scored(spark, 2, column="pred_close"), path("p"), 0)
+    (entry,) = batches.entries(spark, path("p")).values()
+    files.write_text(spark, batches.folder(path("p"), entry.attempt) + "/bad.parquet", "bad")
     assert [r["pred_next_close"] for r in tables.read_predictions(spark, path("p")).collect()] == [
         1.0,
         1.0,
     ]
 
 
+def test_damaged_files_are_never_opened(spark, path):
+    """However many files there are, the driver asks for few things; a damaged file is left out unopened."""
+    with_spread(ticks(spark, 60)).repartition(12).write.parquet(path("t"))
+    for name, text in (("zero", ""), ("odd name=1%", "no parquet, but long enough")):
+        files.write_text(spark, f"{path('t')}/{name}.parquet", text)
+    table = tables.read_tolerant(spark, path("t"), HISTORY)
+    assert table.count() == 60 and table.where("close >= 30").count() == 30
+    calls = []
+    listed = files.below
+    files.below = lambda *a: calls.append(a) or listed(*a)
+    try:
+        assert len(tables.damaged_files(spark, [path("t")])) == 1 and not calls
+    finally:
+        files.below = listed
+
+
 def test_a_file_that_cannot_be_read_to_its_end_is_an_error(spark, path):
     """Damage between a file's marks must not pass for a shorter table."""
     with_spread(ticks(spark, 1000)).coalesce(1).write.parquet(path("t"))
@@ -181,7 +204,7 @@ def test_damaged_files_are_named(spark, path):
     for name, text in (("zero", ""), ("short", "PAR1"), ("odd name=1%", "no parquet, but long enough")):
         files.write_text(spark, f"{path('t')}/{name}.parquet", text)
     found = {p.rpartition("/")[2] for p in tables.damaged_files(spark, [path("t")])}
-    assert found == {"zero.parquet", "short.parquet", "odd name=1%.parquet"}
+    assert found == {"short.parquet", "odd name=1%.parquet"}
     assert tables.read_tolerant(spark, path("t"), HISTORY).count() == 10
 
 
@@ -196,12 +219,12 @@ def test_statistics_of_all_part_files_or_the_newest(spark, path):
 
 
 def test_a_repeated_batch_takes_the_place_of_the_first(spark, path):
-    assert sinks.write_batch(scored(spark, 2), path("p"), 5) == 2
-    assert sinks.write_batch(scored(spark, 3), path("p"), 5) == 3
+    assert write_batch(scored(spark, 2), path("p"), 5) == 2
+    assert write_batch(scored(spark, 3), path("p"), 5) == 3
     assert tables.read_predictions(spark, path("p")).count() == 3
-    assert sinks.write_batch(scored(spark, 3).limit(0), path("p"), 5) == 0
-    assert tables.newest_batches(spark, path("p"), 9) == []
-    assert [n for n, _ in files.children(spark, path("p")) if n.startswith("_")] == []
+    assert write_batch(scored(spark, 3).limit(0), path("p"), 5) == 0
+    assert batches.entries(spark, path("p"), newest=9) == {}
+    assert tables.read_predictions(spark, path("p")).count() == 0
 
 
 # history and payloads

@@ -9,7 +9,7 @@ from tickwright.operators.regression import LinearModel
 from tickwright.operators.windows import window_stats
 from tickwright.schemas import FEATURES, SILVER, STATS, TICK
 from tickwright.sinks.messages import publish
-from tickwright.sources import files, logs, tables
+from tickwright.sources import batches, files, logs, tables
 from tickwright.sources.ticks import tick_stream
 from tickwright.streaming import jobs, lifecycle, progress
 
@@ -181,7 +181,7 @@ def test_batches_without_ticks_write_nothing(spark, path):
     files.write_text(spark, path("in/0"), "")
     finish(jobs.start_scoring(ticks(spark, path("in")), MODEL, path("p"), path("c"), **NOW))
     finish(jobs.start_stats_snapshot(ticks(spark, path("in")), path("s"), path("d"), **NOW))
-    assert tables.newest_batches(spark, path("p"), 1) == []
+    assert batches.entries(spark, path("p")) == {}
     assert files.children(spark, path("s")) == []
 
 
@@ -222,7 +222,7 @@ def test_checkpoint_choice(spark, path):
     files.write_text(spark, f"{root}/run=000000/metadata", "x")
     assert choose("resume") == "/run=000000"
     assert choose("fresh") == choose("replay_if_empty") == "/run=000001"
-    files.write_text(spark, tables.batch_folder(out, 0) + "/_SUCCESS", "")
+    files.mark(spark, batches.Entry(0, 0, "try").marker(out))
     assert choose("replay_if_empty") == "/run=000000"
     with pytest.raises(ValueError, match="start option"):
         choose("maybe")

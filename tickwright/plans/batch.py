@@ -26,7 +26,7 @@ from tickwright.plans.bridge import (
 from tickwright.schemas import FEATURES, HISTORY, MODEL, RUN_LOG, STATS, TARGET, TICK
 from tickwright.session import prepare, scratch, written
 from tickwright.sinks.tables import cached_history, write_snapshot
-from tickwright.sources import files, logs, payload, tables
+from tickwright.sources import batches, files, logs, payload, tables
 
 Spark = SparkSession
 
@@ -198,12 +198,12 @@ def latest_batches(spark: Spark, sf_dir: str) -> DataFrame:
 def latest_batch_folders(spark: Spark, sf_dir: str) -> DataFrame:
     """The same rows from stored batches, of which only the newest folders are read."""
     path = scratch(spark, "predictions")
-    group = F.floor(F.col("batch_id") / tables.BATCHES_PER_GROUP)
-    stored = predictions(spark, sf_dir).withColumn("batch_group", group)
-    stored.write.partitionBy("batch_group", "batch_id").parquet(path)
-    # one job wrote all batches, so its mark stands for each of them
-    for folder in {part.rpartition("/")[0] for part, _ in files.below(spark, path)}:
-        files.write_text(spark, f"{folder}/_SUCCESS", "")
+    # one job writes the folders of all batches, then each gets its entry in the log
+    stored = predictions(spark, sf_dir).withColumn("own", F.col("batch_id"))
+    stored.write.partitionBy("own").parquet(batches.folder(path, ""))
+    for name, _ in files.children(spark, batches.folder(path, "")):
+        if name.startswith("own="):
+            files.mark(spark, batches.Entry(int(name[4:]), 0, name).marker(path))
     newest = tables.read_predictions(spark, path)
     return naive_times(
         rounded(newest.select("event_time", "symbol", "batch_id", "close", "pred_next_close"), 4)

@@ -50,6 +50,9 @@ PREDICTIONS = T.StructType(
     ]
 )
 
+#: An integer beside the columns of stored ticks: where each arrived, rising with the order of arrival.
+ARRIVAL = "arrival"
+
 FEATURES = ["open", "high", "low", "close", "volume", "hl_spread"]
 TARGET = "next_close"
 

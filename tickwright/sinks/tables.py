@@ -1,28 +1,26 @@
 """Parquet writers that survive a repeated batch and show readers complete tables only."""
 
-import uuid
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tickwright import settings
 from tickwright.operators.rows import has_rows
 from tickwright.schemas import HISTORY
 from tickwright.sources import files
-from tickwright.sources.tables import (
-    SNAPSHOT_PREFIX,
-    batch_folder,
-    read_tolerant,
-    snapshot_versions,
-)
+from tickwright.sources.tables import SNAPSHOT_PREFIX, read_tolerant, snapshot_versions
 
+#: Readers that began before a snapshot was replaced have so many seconds to end.
+GRACE = 600.0
 
-def write_snapshot(df: DataFrame, path: str, order: list[str], keep: int = 3) -> bool:
+
+def write_snapshot(df: DataFrame, path: str, order: list[str], grace: float = GRACE) -> bool:
     """Replace the table by ``df`` in the given order; an empty ``df`` changes nothing.
 
     The rows go to a new version folder, which readers take once its success marker is
-    there. The last ``keep`` versions stay for readers that are still busy with them.
+    there. A version goes ``grace`` seconds after a newer one was complete, so that readers that are
+    still busy with it can end, however fast versions follow each other.
     """
     spark = df.sparkSession
     df = df.persist()
@@ -38,7 +36,12 @@ def write_snapshot(df: DataFrame, path: str, order: list[str], keep: int = 3) ->
         df.orderBy(*order).write.parquet(f"{path}/{SNAPSHOT_PREFIX}{version:010d}")
     finally:
         df.unpersist()
-    for old in snapshot_versions(spark, path)[:-keep]:
+    until = (time.time() - grace) * 1000
+    versions = snapshot_versions(spark, path)
+    for old, newer in zip(versions, versions[1:]):
+        done = f"{path}/{SNAPSHOT_PREFIX}{newer:010d}/_SUCCESS"
+        if files.modified(spark, done) > until:
+            break
         files.drop_folder(spark, f"{path}/{SNAPSHOT_PREFIX}{old:010d}")
     return True
 
@@ -49,25 +52,6 @@ def clear_snapshot(spark: SparkSession, path: str) -> None:
         files.drop_folder(spark, f"{path}/{name}")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> int:
-    """Store the rows of one micro-batch in a folder of its own, replacing an earlier try.
-
-    They are written beside it and take its place once they are complete. The rows are counted as they are written, and a batch that has none leaves nothing.
-    Returns the number of rows.
-    """
-    spark = df.sparkSession
-    attempt = f"{path}/_attempt-{batch_id:08d}-{uuid.uuid4().hex[:12]}"
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(attempt)
-    n = seen.get["n"]
-    if n:
-        files.replace_folder(spark, attempt, batch_folder(path, batch_id))
-    else:
-        files.drop_folder(spark, attempt)
-        files.drop_folder(spark, batch_folder(path, batch_id))
-    return n
-
-
 def cached_history(
     spark: SparkSession,
     path: str,

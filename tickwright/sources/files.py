@@ -59,17 +59,10 @@ def ends(spark: SparkSession, path: str, n: int) -> tuple[bytes, bytes]:
         opened.close()
 
 
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put a finished folder in the place of another, which stays whole until then."""
-    fs, new = _located(spark, source)
-    old = spark._jvm.org.apache.hadoop.fs.Path(target)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(old.getParent(), f"_old-{new.getName()}")
-    if fs.exists(old):
-        fs.rename(old, aside)
-    fs.mkdirs(old.getParent())
-    if not fs.rename(new, old):
-        raise OSError(f"{source} could not be renamed to {target}")
-    fs.delete(aside, True)
+def mark(spark: SparkSession, path: str) -> None:
+    """Make a new empty file; it is an error if there is one."""
+    fs, target = _located(spark, path)
+    fs.create(target, False).close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

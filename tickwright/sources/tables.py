@@ -1,7 +1,6 @@
 """Table readers that cope with missing, empty and damaged files."""
 
 import logging
-import sys
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +9,8 @@ from pyspark.sql import types as T
 
 from tickwright import settings
 from tickwright.functions.predictions import LEGACY_PREDICTION, PREDICTION
-from tickwright.schemas import PREDICTIONS, SILVER, STATS
-from tickwright.sources import files
+from tickwright.schemas import ARRIVAL, PREDICTIONS, SILVER, STATS
+from tickwright.sources import batches, files
 
 log = logging.getLogger(__name__)
 
@@ -19,9 +18,6 @@ log = logging.getLogger(__name__)
 PARQUET_MAGIC = b"PAR1"
 
 SNAPSHOT_PREFIX = "version="
-GROUP_PREFIX = "batch_group="
-BATCH_PREFIX = "batch_id="
-BATCHES_PER_GROUP = 1000
 
 
 def empty(spark: SparkSession, schema: T.StructType, row_id: str | None = None) -> DataFrame:
@@ -30,10 +26,16 @@ def empty(spark: SparkSession, schema: T.StructType, row_id: str | None = None)
 
 
 def _with_row_id(table: DataFrame, row_id: str | None) -> DataFrame:
+    """``table`` has the column of arrival, which becomes the row id; rows without one get their place's hash."""
     if row_id is None:
-        return table
+        return table.drop(ARRIVAL)
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    return table.select("*", place.alias(row_id))
+    others = [c for c in table.columns if c != ARRIVAL]
+    return table.select(*others, F.coalesce(ARRIVAL, place).alias(row_id))
+
+
+def _arriving(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(ARRIVAL, T.LongType())])
 
 
 def read_tolerant(
@@ -41,49 +43,51 @@ def read_tolerant(
 ) -> DataFrame:
     """All Parquet rows below ``path``; zero-byte and damaged files are left out.
 
-    Their names are logged (``damaged_files`` gives them). All other files are read
+    The names of damaged ones are logged (``damaged_files`` gives them). All other files are read
     strictly: one that cannot be read to its end is an error, not a shorter table. A
-    missing path is an empty table. ``row_id`` names an extra integer column that tells
-    rows apart and is the same at every read: it stems from the file and the row's place
-    in it, so it also works as tie-breaker between ticks of the same instant.
+    missing path is an empty table; of a table of batches the ones that count are read.
+    ``row_id`` names an extra integer column that tells rows apart, is the same at every
+    read and breaks ties between ticks of the same instant: where a tick came from in its topic
+    or batch, so that the order of arrival outlives any rewriting of files. Rows that were stored
+    without that get a number from their file and their place in it.
     """
     if not files.exists(spark, path):
         return empty(spark, schema, row_id)
-    paths = _sound(spark, [path])
-    if not paths:
+    found = batches.live(spark, path).folders if batches.logged(spark, path) else [path]
+    if not found:
         return empty(spark, schema, row_id)
+    table = _sound_rows(spark, found, _arriving(schema))
+    return _with_row_id(table, row_id)
+
+
+def _sound_rows(spark: SparkSession, folders: list[str], schema: T.StructType) -> DataFrame:
+    """The rows of all Parquet files below the folders but those that are damaged."""
     table = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .parquet(*paths)
+        .parquet(*folders)
     )
-    return _with_row_id(table, row_id)
-
-
-def _sound(spark: SparkSession, folders: list[str]) -> list[str]:
-    """The folders, or if files below them are damaged, all other files."""
-    damaged = set(damaged_files(spark, folders))
-    if not damaged:
-        return folders
-    log.warning("left out as no Parquet files: %s", sorted(damaged))
-    return [p for p in _parquet_below(spark, folders) if p not in damaged]
-
-
-def _parquet_below(spark: SparkSession, folders: list[str]) -> dict[str, int]:
-    found = {p: n for folder in folders for p, n in files.below(spark, folder)}
-    return {p: n for p, n in found.items() if p.endswith(".parquet")}
+    damaged = _damaged(spark, folders)
+    if damaged:
+        log.warning("left out as no Parquet files: %s", [unquote(p) for p in damaged])
+        # files are chosen by this before any of them is opened
+        table = table.where(~F.col("_metadata.file_path").isin(damaged))
+    return table
 
 
 def damaged_files(spark: SparkSession, folders: list[str]) -> list[str]:
-    """Files below the folders that are called Parquet and are none: empty, or without its marks.
+    """Files below the folders that are called Parquet and lack its marks.
 
-    The footers are read by the tasks of a scan without columns. Only files that it shows no
-    rows of are looked into from here; one that cannot be opened is an error.
+    Spark passes over files of no bytes by itself, and unnamed. It lists the files, and tasks read what is needed of them: the footers in a scan without
+    columns, and the first and last bytes of the few files that it shows no rows of. The driver
+    gets the damaged ones' names. A file that cannot be opened is an error.
     """
-    listed = _parquet_below(spark, folders)
-    if not listed:
-        return []
+    return sorted(unquote(p) for p in _damaged(spark, folders))
+
+
+def _damaged(spark: SparkSession, folders: list[str]) -> list[str]:
+    """The damaged files as Spark names them."""
     footers = (
         spark.read.schema("none string")
         .option("recursiveFileLookup", True)
@@ -91,18 +95,20 @@ def damaged_files(spark: SparkSession, folders: list[str]) -> list[str]:
         .option("ignoreCorruptFiles", True)
         .parquet(*folders)
     )
-    whole = {_plain(r[0]) for r in footers.select("_metadata.file_path").distinct().collect()}
+    whole = footers.select(F.col("_metadata.file_path").alias("path")).distinct()
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(folders)
+    )
+    named = listed.select(F.col("_metadata.file_path").alias("path"), "length")
+    silent = named.join(whole, "path", "left_anti").collect()
+    damaged = [r["path"] for r in silent if r["length"] < 12]
+    rest = [r["path"] for r in silent if r["length"] >= 12]
     marks = PARQUET_MAGIC, PARQUET_MAGIC
-    return [
-        p
-        for p, n in listed.items()
-        if _plain(p) not in whole and (n < 12 or files.ends(spark, p, 4) != marks)
-    ]
-
-
-def _plain(path: str) -> str:
-    """A path without scheme and escapes, which listings and plans write differently."""
-    return "/" + unquote(path).split(":", 1)[-1].lstrip("/")
+    damaged += [p for p in rest if files.ends(spark, unquote(p), len(PARQUET_MAGIC)) != marks]
+    return sorted(damaged)
 
 
 def read_silver(spark: SparkSession, path: str, row_id: str | None = None) -> DataFrame:
@@ -118,33 +124,6 @@ def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(found)
 
 
-def batch_folder(path: str, batch_id: int) -> str:
-    """Where a micro-batch is stored: a folder of its own in a folder per thousand batches."""
-    group = batch_id // BATCHES_PER_GROUP
-    return f"{path}/{GROUP_PREFIX}{group:06d}/{BATCH_PREFIX}{batch_id:08d}"
-
-
-def _numbered(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    names = [name for name, _ in files.children(spark, path) if name.startswith(prefix)]
-    return sorted(names, key=lambda name: int(name[len(prefix) :]))
-
-
-def newest_batches(spark: SparkSession, path: str, n: int) -> list[str]:
-    """Folders of the ``n`` newest complete batches, oldest first.
-
-    Groups are looked through from the newest on, so however old a stream is, no more
-    than its groups and the batches of the last few of them are listed.
-    """
-    found: list[str] = []
-    for group in reversed(_numbered(spark, path, GROUP_PREFIX)):
-        folder = f"{path}/{group}"
-        batches = [f"{folder}/{b}" for b in _numbered(spark, folder, BATCH_PREFIX)]
-        found = [b for b in batches if files.exists(spark, f"{b}/_SUCCESS")] + found
-        if len(found) >= n:
-            break
-    return found[-n:]
-
-
 def read_stats(spark: SparkSession, path: str, n_files: int | None = None) -> DataFrame:
     """The newest complete snapshot, else all part files of an older table, else no rows.
 
@@ -157,28 +136,35 @@ def read_stats(spark: SparkSession, path: str, n_files: int | None = None) -> Da
         return read_tolerant(spark, path, STATS)
     if not files.exists(spark, path):
         return empty(spark, STATS)
-    damaged = set(damaged_files(spark, [path]))
-    parts = [p for p in _parquet_below(spark, [path]) if p not in damaged]
-    parts.sort(key=lambda p: (files.modified(spark, p), p))
-    if not parts:
-        return empty(spark, STATS)
-    return spark.read.schema(STATS).parquet(*parts[-n_files:])
+    table = _sound_rows(spark, [path], STATS)
+    place = F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("place")
+    newest = table.select(place).distinct().orderBy(F.desc("place")).limit(n_files).collect()
+    return table.where(F.col("_metadata.file_path").isin([r["place"]["file_path"] for r in newest]))
+
+
+def latest_changes(changes: DataFrame) -> DataFrame:
+    """The last state of every window, with the batch that gave it.
+
+    The pick is a hash aggregate that is reduced before the shuffle.
+    """
+    keys = ["window_start", "window_end", "symbol"]
+    values = [c for c in STATS.fieldNames() if c not in keys]
+    last = [F.max_by(c, "batch_id").alias(c) for c in values]
+    return changes.groupBy(*keys).agg(*last, F.max("batch_id").alias("batch_id"))
 
 
 def read_stats_changes(spark: SparkSession, path: str) -> DataFrame:
     """Latest statistics of every window from a table of changes.
 
-    Each batch added the windows it changed, a window once; the highest batch id wins.
-    The pick is a hash aggregate that is reduced before the shuffle.
+    Each batch added the windows it changed, a window once; the highest batch id wins. Only
+    folded segments and the batches after them are opened.
     """
     tagged = T.StructType([*STATS.fields, T.StructField("batch_id", T.LongType())])
-    folders = newest_batches(spark, path, sys.maxsize)
+    folders = batches.live(spark, path).folders
     if not folders:
         return empty(spark, STATS)
-    changes = spark.read.schema(tagged).option("basePath", path).parquet(*folders)
-    keys = ["window_start", "window_end", "symbol"]
-    values = [c for c in STATS.fieldNames() if c not in keys]
-    return changes.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+    changes = spark.read.schema(tagged).parquet(*folders)
+    return latest_changes(changes).select(*STATS.fieldNames())
 
 
 def read_predictions(
@@ -193,15 +179,17 @@ def read_predictions(
     the prediction under its former name only; both names are asked for, so that no footers
     have to be merged.
     """
-    folders = newest_batches(spark, path, n_batches or sys.maxsize)
-    if not folders:
+    found = batches.live(spark, path, n_batches)
+    if not found.folders:
         return empty(spark, PREDICTIONS, row_id)
-    both = T.StructType([*PREDICTIONS.fields, T.StructField(LEGACY_PREDICTION, T.DoubleType())])
-    paths = _sound(spark, folders)
-    if not paths:
-        return empty(spark, PREDICTIONS, row_id)
-    stored = spark.read.schema(both).option("basePath", path).parquet(*paths)
-    table = _with_row_id(stored, row_id)
+    tagged = [
+        T.StructField("batch_id", T.LongType()) if f.name == "batch_id" else f
+        for f in [*PREDICTIONS.fields, T.StructField(LEGACY_PREDICTION, T.DoubleType())]
+    ]
+    table = _sound_rows(spark, found.folders, _arriving(T.StructType(tagged)))
+    if found.since is not None:
+        table = table.where(F.col("batch_id") >= found.since)
+    table = _with_row_id(table, row_id)
     table = table.withColumn(PREDICTION, F.coalesce(PREDICTION, LEGACY_PREDICTION))
     wanted = [F.col(f.name).cast(f.dataType).alias(f.name) for f in PREDICTIONS]
     return table.select(*wanted, *([row_id] if row_id else []))

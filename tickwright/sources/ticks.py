@@ -1,10 +1,10 @@
 """Streams of ticks."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwright.functions.ticks import parse_ticks
-from tickwright.schemas import TICK
+from tickwright.schemas import ARRIVAL, TICK
 
 # Fixed value: where a topic is read from on the first start.
 STARTING = ("latest", "earliest")
@@ -45,8 +45,27 @@ def message_stream(
     raise ValueError(f"unknown message source: {kind}")
 
 
+#: A topic's partition stands before the offset in a message's position.
+_OFFSET_BITS = 48
+
+
+def topic_position() -> Column:
+    """One integer for a message's partition and offset, rising with the offset."""
+    partition, offset = F.col("partition").cast("long"), F.col("offset")
+    fits = (partition < 1 << (62 - _OFFSET_BITS)) & (offset < 1 << _OFFSET_BITS)
+    message = F.concat(F.lit("no position for partition "), partition.cast("string"), F.lit(" offset "), offset.cast("string"))
+    return F.when(fits, F.shiftleft(partition, _OFFSET_BITS) + offset).otherwise(F.raise_error(message).cast("long"))
+
+
 def tick_stream(spark: SparkSession, kind: str, location: str, **options) -> DataFrame:
-    """A stream of ticks from ``kafka``, ``json`` or ``parquet``."""
+    """A stream of ticks from ``kafka``, ``json`` or ``parquet``.
+
+    Ticks of a topic have their position in it as ``arrival``; those of files get one when a
+    batch of them is stored.
+    """
+    if kind == "kafka":
+        messages = message_stream(spark, kind, location, **options)
+        return parse_ticks(messages.withColumn(ARRIVAL, topic_position()), keep=[ARRIVAL])
     if kind != "parquet":
         return parse_ticks(message_stream(spark, kind, location, **options))
     reader = spark.readStream.schema(TICK)

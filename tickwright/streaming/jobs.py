@@ -8,7 +8,11 @@ from tickwright.operators.regression import LinearModel
 from tickwright.operators.scoring import score_ticks
 from tickwright.operators.windows import overlapping, panes, widen, window_stats
 from tickwright.settings import WATERMARK
-from tickwright.sinks.tables import write_batch, write_snapshot
+from tickwright.operators.rows import numbered
+from tickwright.schemas import ARRIVAL
+from tickwright.sinks.batches import FAN, fold, write_batch
+from tickwright.sinks.tables import write_snapshot
+from tickwright.sources.tables import latest_changes
 from tickwright.sources.ticks import with_watermark
 from tickwright.streaming.lifecycle import state_settings
 
@@ -50,22 +54,36 @@ def start_silver(ticks: DataFrame, path: str, checkpoint: str, trigger: Trigger
     return _append_table(features, path, SILVER, checkpoint, trigger)
 
 
+def arriving(batch: DataFrame, batch_id: int) -> DataFrame:
+    """The ticks of a persisted batch with their place of arrival, which those of a topic have."""
+    return batch if ARRIVAL in batch.columns else numbered(batch, ARRIVAL, batch_id)
+
+
 def start_bronze_and_silver(
-    ticks: DataFrame, bronze: str, silver: str, checkpoint: str, trigger: Trigger = None
+    ticks: DataFrame,
+    bronze: str,
+    silver: str,
+    checkpoint: str,
+    trigger: Trigger = None,
+    folded: int = FAN,
 ):
     """Both tables from one stream: messages are read and parsed once instead of twice.
 
     Each micro-batch has a folder of its own in either table, so a repeated batch
-    replaces what an earlier try left.
+    replaces what an earlier try left; older ones are folded into larger files. Ticks keep
+    their place of arrival in both.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if write_batch(batch, bronze, batch_id):
-                write_batch(silver_features(batch), silver, batch_id)
+            placed = arriving(batch, batch_id)
+            write_batch(placed, bronze, batch_id)
+            write_batch(silver_features(placed), silver, batch_id)
         finally:
             batch.unpersist()
+        for table in (bronze, silver):
+            fold(batch.sparkSession, table, fan=folded)
 
     writer = ticks.writeStream.queryName("bronze_silver").outputMode("append")
     return _start(writer.foreachBatch(store), checkpoint, trigger)
@@ -113,16 +131,20 @@ def start_stats_changes(
     size: str = "10 seconds",
     slide: str | None = None,
     trigger: Trigger = None,
+    folded: int = FAN,
     **state,
 ):
     """Append the windows each batch changed; ``read_stats_changes`` gives their last state.
 
     Update mode: a window leaves the state once the watermark has passed it, and each
-    batch writes only what it changed, so neither grows with the age of the stream.
+    batch writes only what it changed, so neither grows with the age of the stream. Every
+    ``folded`` batches are folded into a segment with a row per window, as many segments into
+    one of the next level, so readers open few folders however old the stream is.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, batch_id)
+        fold(batch.sparkSession, path, latest_changes, fan=folded)
 
     writer = (
         streaming_stats(ticks, size, slide)
@@ -176,11 +198,17 @@ def start_scoring(
     path: str,
     checkpoint: str,
     trigger: Trigger = None,
+    folded: int = FAN,
 ):
-    """Score the ticks and store one folder of predictions per micro-batch."""
+    """Score the ticks and store one folder of predictions per micro-batch; older ones are folded."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+        batch = batch.persist()
+        try:
+            write_batch(arriving(batch, batch_id), path, batch_id)
+        finally:
+            batch.unpersist()
+        fold(batch.sparkSession, path, fan=folded)
 
     scored = score_ticks(with_spread(ticks), model)
     writer = (

@@ -4,8 +4,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from tickwright.sources import files
-from tickwright.sources.tables import newest_batches
+from tickwright.sources import batches, files
 
 # Class names of the two state stores that come with Spark.
 STATE_STORES = {
@@ -50,7 +49,7 @@ def checkpoint_path(
     last = max(runs, default=0)
     renew = on_start == "fresh"
     if on_start == "replay_if_empty":
-        renew = not newest_batches(spark, output, 1)
+        renew = not batches.entries(spark, output, newest=1)
     if renew and runs:
         last += 1
     return f"{root}/run={last:06d}"
