@@ -124,35 +124,68 @@ def test_a_large_summary_is_joined_by_a_shuffle(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("sort_limit", [1_000_000, 20, 1])
-def test_kth_smallest(spark, sort_limit):
+@pytest.mark.parametrize("bins", [1 << 16, 20, 2])
+def test_kth_smallest(spark, bins):
     rng = random.Random(3)
     values = [rng.choice([5, 5, 5, 9, 9, rng.randrange(1000)]) for _ in range(400)] + [None] * 30
     frame = spark.createDataFrame([(v,) for v in values], "v long")
     ranked = sorted(v for v in values if v is not None)
     for k in (1, 37, 200, 399, 400):
-        value, below = kth_smallest(frame, "v", k, sort_limit)
+        value, below = kth_smallest(frame, "v", k, bins)
         assert value == ranked[k - 1]
         assert below == sum(v < value for v in ranked)
 
 
-@pytest.mark.parametrize("sort_limit", [1, 100])
-def test_kth_smallest_among_integers_that_share_a_double(spark, sort_limit):
+@pytest.mark.parametrize("bins", [2, 100])
+def test_kth_smallest_among_integers_that_share_a_double(spark, bins):
     values = [2**62 + i for i in range(300)] + [2**62 + 7] * 3
     frame = spark.createDataFrame([(v,) for v in values], "v long")
     ranked = sorted(values)
     for k in (1, 9, 150, 303):
-        value, below = kth_smallest(frame, "v", k, sort_limit)
+        value, below = kth_smallest(frame, "v", k, bins)
         assert value == ranked[k - 1] and below == sum(v < value for v in ranked)
 
 
-@pytest.mark.parametrize(
-    ("k", "sort_limit"), [(1, 10), (500, 10), (500, 900), (720, 10), (900, 900)]
-)
-def test_position_cuts_exactly(spark, k, sort_limit):
+def test_kth_smallest_takes_few_scans_of_the_whole_range(spark, monkeypatch):
+    """Values at both ends of 64 bits: one scan for the range, four of 16 bits each."""
+    values = [-(2**63), -(2**63) + 1, -5, 0, 0, 7, 2**40, 2**63 - 2, 2**63 - 1]
+    frame = spark.createDataFrame([(v,) for v in values], "v long")
+    scans = []
+    plain = type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: scans.append(self) or plain(self))
+    for k, value in enumerate(values, 1):
+        scans.clear()
+        assert kth_smallest(frame, "v", k) == (value, sum(v < value for v in values))
+        assert len(scans) <= 5
+    assert all("Sort" not in planned(s) for s in scans)
+
+
+def test_a_plan_does_not_grow_with_the_table(spark, monkeypatch):
+    """Beyond the most slices they grow instead, and the neighbours stay the same."""
+    rows = skewed_rows()
+    frame = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(ordering, "MOST_SLICES", 6)
+    for per_slice in (1, 10):
+        slices = Slices.plan(frame, "tie", rows_per_slice=per_slice)
+        assert slices.count == 6 and len(slices.time_cuts) <= 12
+    found = with_neighbour(frame, "close", "near", "tie", rows_per_slice=1)
+    assert {r["tie"]: r["near"] for r in found.collect()} == expected_neighbours(rows, 1)
+
+
+def test_slices_are_dealt_evenly_to_tasks(spark):
+    frame = spark.createDataFrame(skewed_rows(3000), SCHEMA)
+    slices = Slices.plan(frame, "tie", rows_per_slice=100)
+    dealt = slices.assign(frame, "tie", tasks=slices.count)
+    own = dealt.groupBy("slice_task").agg(F.count("*").alias("n"), F.countDistinct("slice_no").alias("slices"))
+    most = own.agg(F.max("n"), F.max("slices"), F.count("*")).first()
+    assert most[0] <= 3 * 100 + 50 and most[1] <= 4 and most[2] >= 0.9 * slices.count
+
+
+@pytest.mark.parametrize(("k", "bins"), [(1, 10), (500, 10), (500, 900), (720, 10), (900, 900)])
+def test_position_cuts_exactly(spark, k, bins):
     rows = skewed_rows()
     frame = spark.createDataFrame(rows, SCHEMA)
-    position = ordering.split_position(frame, k, "tie", sort_limit=sort_limit)
+    position = ordering.split_position(frame, k, "tie", bins=bins)
     head = at_or_before(position, "tie")
     got = {r["tie"] for r in frame.where(head).collect()}
     assert got == {row[0] for row in sorted(rows, key=order_key)[:k]}

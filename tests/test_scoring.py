@@ -125,3 +125,23 @@ def test_unpivot_gives_two_rows_per_tick(spark):
         ("actual_next_close", 2.0),
         ("pred_next_close", 3.0),
     ]
+
+
+def test_the_histogram_runs_its_input_once(spark):
+    """The errors are computed by one job, whatever range and bins need."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    values = spark.range(100).select(F.sqrt("id").alias("abs_error")).mapInPandas(counted, "abs_error double")
+    found = {r["bin"]: r["n"] for r in evaluation.error_histogram(values).collect()}
+    assert sum(found.values()) == 100 and seen.value == 100
+    width = 99**0.5 / 30
+    expected = {}
+    for i in range(100):
+        b = min(29, int(i**0.5 / width))
+        expected[b] = expected.get(b, 0) + 1
+    assert found == expected

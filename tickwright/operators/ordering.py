@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from tickwright.session import written
 
 ROWS_PER_SLICE = 2_000_000
+#: Slices grow beyond their share rather than become more than this, so plans and samples stay small.
+MOST_SLICES = 4_096
 SAMPLED_PER_SLICE = 200
-SORT_LIMIT = 10_000
+#: Counts that the driver gets at a time when it looks for a position.
+BINS = 1 << 16
 #: So many rows of a summary, a few numbers each, are sent to every task.
 FEW_EDGES = 500_000
 
@@ -69,7 +72,7 @@ class Slices:
         cuts a little: every row gets its slice, and no result depends on where cuts lie.
         """
         n = df.count()
-        wanted = math.ceil(n / rows_per_slice)
+        wanted = min(math.ceil(n / rows_per_slice), MOST_SLICES)
         if wanted <= 1:
             return None
         shares = [i / wanted for i in range(1, wanted)]
@@ -88,22 +91,34 @@ class Slices:
             wanted, tuple(cuts) or anywhere, tuple(sorted(set(ties))) or anywhere, tuple(crowded)
         )
 
-    def assign(self, df: DataFrame, tie: str, time: str = "event_time") -> DataFrame:
-        """Add ``slice_no``, rising with (time, tie): equal plans give equal numbers."""
+    def assign(
+        self, df: DataFrame, tie: str, time: str = "event_time", tasks: int | None = None
+    ) -> DataFrame:
+        """Add ``slice_no``, rising with (time, tie): equal plans give equal numbers.
+
+        ``tasks`` adds ``slice_task``, which deals the slices evenly to so many tasks.
+        """
         keyed = df.withColumns(
             {"slice_at": micros(time).cast("double"), "slice_tie": F.col(tie).cast("double")}
         )
-        crowded = F.col("slice_at").isNull()
+        # a crowded instant's number, from 1; 0 is for no instant at all
+        crowded = F.when(F.col("slice_at").isNull(), 0)
         if self.crowded:
-            crowded = crowded | F.col("slice_at").isin(list(self.crowded))
-        keyed = keyed.withColumn("slice_crowded", crowded)
+            number = F.array_position(F.array(*map(F.lit, self.crowded)), F.col("slice_at"))
+            crowded = crowded.when(number > 0, number)
+        keyed = keyed.withColumn("slice_crowded_no", crowded)
+        keyed = keyed.withColumn("slice_crowded", F.col("slice_crowded_no").isNotNull())
         keyed = _bucket(keyed, "slice_at", list(self.time_cuts))
         keyed = _bucket(keyed, "slice_tie", list(self.tie_cuts))
         width = len(self.tie_cuts) + 2
         inner = F.when(F.col("slice_crowded"), F.col("slice_tie")).otherwise(F.lit(0))
-        return keyed.withColumn("slice_no", F.col("slice_at") * width + inner).drop(
-            "slice_at", "slice_tie", "slice_crowded"
-        )
+        found = keyed.withColumn("slice_no", F.col("slice_at") * width + inner)
+        if tasks:
+            # the slices of whole stretches are counted first, then those within crowded instants
+            stretch, within = F.col("slice_at"), F.col("slice_crowded_no") * width + inner
+            counted = F.when(F.col("slice_crowded"), len(self.time_cuts) + 2 + within).otherwise(stretch)
+            found = found.withColumn("slice_task", F.pmod(counted, F.lit(tasks)).cast("int"))
+        return found.drop("slice_at", "slice_tie", "slice_crowded", "slice_crowded_no")
 
 
 def with_neighbour(
@@ -133,22 +148,22 @@ def with_neighbour(
         whole = Window.partitionBy(*(group or [F.lit(0)])).orderBy(*time_order(tie, time))
         return df.withColumn(out, F.when(belongs, look(value).over(whole)))
 
-    sliced = slices.assign(df, tie, time)
-    keys = [*group, "slice_no"]
-    # a task per slice at least, however few the session asks for
+    # a task per slice at least, however few the session asks for; each gets as many slices
     tasks = max(slices.count, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    inside = Window.partitionBy(*keys).orderBy(*time_order(tie, time))
+    sliced = slices.assign(df, tie, time, tasks)
+    keys = [*group, "slice_no"]
+    inside = Window.partitionBy("slice_task", *keys).orderBy(*time_order(tie, time))
     # boxed in a struct, a neighbour whose value is NULL differs from no neighbour at all
     boxed = F.struct(F.col(value).alias("value"))
     back = F.lag if step == "next" else F.lead
     # written, so that the rows are shuffled and sorted once: the edges are read off the table
     laid = written(
-        sliced.repartition(tasks, *keys).withColumns(
+        sliced.repartitionById(tasks, F.col("slice_task")).withColumns(
             {
                 "beside": look(boxed).over(inside),
                 "outermost": back(F.lit(1)).over(inside).isNull(),
             }
-        ),
+        ).drop("slice_task"),
         "neighbours",
     )
     across = Window.partitionBy(*(group or [F.lit(0)])).orderBy("slice_no")
@@ -163,42 +178,27 @@ def with_neighbour(
     )
 
 
-def kth_smallest(df: DataFrame, column: str, k: int, sort_limit: int = SORT_LIMIT):
+def kth_smallest(df: DataFrame, column: str, k: int, bins: int = BINS):
     """The exact k-th smallest value (from 1) of an integer column, and how many are below.
 
-    Quantile sketches narrow the range in passes over that one column until the few
-    values left can be sorted.
+    The range is divided into up to ``bins`` equal parts by the values' first bits, the part of the
+    k-th is found by counts, and divided again: four scans of one column at most for 64 bits, and
+    nothing is sorted.
     """
     values = df.select(F.col(column).cast("long").alias("v")).where(F.col("v").isNotNull())
-    as_double = F.col("v").cast("double")
-    inside, left = values, k
-    while (n := inside.count()) > sort_limit:
-        share, error = left / n, 0.001
-        low, high = inside.select(as_double.alias("v")).approxQuantile(
-            "v", [max(0.0, share - 2 * error), min(1.0, share + 2 * error)], error
-        )
-        # the value lies in one of these parts, whatever the sketch's error was
-        parts = [
-            as_double < low,
-            as_double == low,
-            (as_double > low) & (as_double < high),
-            (as_double == high) & (as_double > low),
-            as_double > high,
-        ]
-        sizes = inside.agg(*[F.count_if(p).alias(f"p{i}") for i, p in enumerate(parts)]).first()
-        part = 0
-        while left > sizes[part]:
-            left -= sizes[part]
-            part += 1
-        inside = inside.where(parts[part])
-        if part in (1, 3) and sizes[part] > sort_limit:
-            # one double stands for some thousand integers at most, so these can be counted
-            for value, n in sorted(inside.groupBy("v").count().collect()):
-                if left <= n:
-                    return value, values.where(F.col("v") < value).count()
-                left -= n
-    value = inside.orderBy("v").offset(left - 1).limit(1).first()["v"]
-    return value, values.where(F.col("v") < value).count()
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    below = 0
+    while low < high:
+        # as few of the last bits are left out as still give no more parts than that
+        bits = max(0, (high - low).bit_length() - bins.bit_length() + 1)
+        part = F.shiftright("v", bits).alias("part")
+        counts = values.where(F.col("v").between(low, high)).groupBy(part).count().collect()
+        for part, n in sorted(counts):
+            if below + n >= k:
+                break
+            below += n
+        low, high = max(low, part << bits), min(high, (part + 1 << bits) - 1)
+    return low, below
 
 
 def split_position(
@@ -207,21 +207,21 @@ def split_position(
     tie: str,
     time: str = "event_time",
     by: str = "symbol",
-    sort_limit: int = SORT_LIMIT,
+    bins: int = BINS,
 ):
     """(symbol, instant in microseconds, tie) of the k-th row in (symbol, time, tie) order.
 
-    Row counts lead to the symbol. A symbol of up to ``sort_limit`` rows is sorted by its
-    keys, a larger one is narrowed down column by column; no row changes its place for it.
-    A NULL symbol comes after all others, as a NULL instant does within its symbol.
+    Row counts lead to the symbol, then its instants and the ties of one instant are narrowed down
+    by counts; no row changes its place for it. A NULL symbol comes after all others, as a
+    NULL instant does within its symbol.
     """
     # one row per symbol: the summary is all that is ranked
     running = F.sum("n").over(
         Window.orderBy(F.col(by).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     )
-    symbol, n, upto = (
+    symbol, n, timed, upto = (
         df.groupBy(by)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count(time).alias("timed"))
         .withColumn("upto", running)
         .where(F.col("upto") >= k)
         .orderBy("upto")
@@ -232,16 +232,12 @@ def split_position(
     rows = df.where(F.col(by).eqNullSafe(F.lit(symbol))).select(
         micros(time).alias("at"), F.col(tie).alias("tie")
     )
-    if n <= sort_limit:
-        last = rows.orderBy(*time_order("tie", "at")).offset(k - 1).limit(1).first()
-        return symbol, last["at"], last["tie"]
-    timed = rows.where(F.col("at").isNotNull()).count()
     if k > timed:
         at, k, rows = None, k - timed, rows.where(F.col("at").isNull())
     else:
-        at, below = kth_smallest(rows, "at", k, sort_limit)
+        at, below = kth_smallest(rows, "at", k, bins)
         k, rows = k - below, rows.where(F.col("at") == at)
-    return symbol, at, kth_smallest(rows, "tie", k, sort_limit)[0]
+    return symbol, at, kth_smallest(rows, "tie", k, bins)[0]
 
 
 def at_or_before(
