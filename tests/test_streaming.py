@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -248,15 +249,61 @@ def test_when_one_stream_ends_the_others_are_stopped(spark, path):
     spark.streams.resetTerminated()
 
 
-def test_no_progress_is_deleted(spark, path):
-    class Event:
-        def __init__(self, batch):
-            document = {"name": "s", "batchId": batch, "numInputRows": 2}
-            document["timestamp"] = f"2024-01-01T00:{batch // 60:02d}:{batch % 60:02d}.000Z"
-            self.progress = type("Progress", (), {"json": json.dumps(document)})
+class Event:
+    """A progress of two rows, as listeners get it."""
 
-    listener = progress.ProgressFiles(spark, path("progress"))
-    for batch in range(1001):
+    def __init__(self, batch, name="s"):
+        document = {"name": name, "batchId": batch, "numInputRows": 2}
+        document["timestamp"] = f"2024-01-01T{batch // 3600:02d}:{batch // 60 % 60:02d}:{batch % 60:02d}.000Z"
+        self.progress = type("Progress", (), {"json": json.dumps(document)})
+
+
+def total(spark, where):
+    found = logs.progress_metrics(logs.read_progress(spark, where))
+    return found.agg(F.sum("input_rows")).first()[0]
+
+
+def test_ten_thousand_progresses_are_read_from_few_files(spark, path):
+    where = path("progress")
+    for batch in range(0, 10_000, 2_000):
+        lines = [Event(b).progress.json for b in range(batch, batch + 2_000)]
+        # as many files would take long to write here; a file may hold many lines
+        for i in range(0, 2_000, 100):
+            files.write_text(spark, f"{where}/s/{batch + i:010d}-x.json", "\n".join(lines[i : i + 100]) + "\n")
+        assert progress.roll_up(spark, where, fan=2) == 2_000
+        assert total(spark, where) == 2 * (batch + 2_000)
+    assert len(files.children(spark, f"{where}/s")) == 20  # those of the last, for readers still busy
+    opened = logs.read_progress(spark, where).inputFiles()
+    assert len([f for f in opened if f.endswith(".parquet")]) <= 3
+    last = logs.latest_progress(logs.read_progress(spark, where)).first()
+    assert last["batchId"] == 9_999
+
+
+def test_a_roll_up_that_breaks_off_loses_and_doubles_nothing(spark, path, monkeypatch):
+    where = path("progress")
+    listener = progress.ProgressFiles(spark, where)
+    for batch in range(5):
+        listener.onQueryProgress(Event(batch))
+    with monkeypatch.context() as cut:
+        cut.setattr(progress, "fold", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            progress.roll_up(spark, where)
+    assert total(spark, where) == 10
+    listener.onQueryProgress(Event(5))
+    # the files of those before go, and some of them are gone already
+    files.drop_folder(spark, files.below(spark, f"{where}/s")[0][0])
+    assert progress.roll_up(spark, where) == 1 and total(spark, where) == 12
+    assert len(files.children(spark, f"{where}/s")) == 1
+
+
+def test_a_listener_rolls_up_by_itself(spark, path):
+    where = path("progress")
+    listener = progress.ProgressFiles(spark, where, roll=4)
+    for batch in range(4):
         listener.onQueryProgress(Event(batch))
-    found = logs.progress_metrics(logs.read_progress(spark, path("progress")))
-    assert found.agg(F.sum("input_rows")).first()[0] == 2002
+    deadline = time.time() + 60
+    while not batches.entries(spark, f"{where}/_rolled") and time.time() < deadline:
+        time.sleep(0.2)
+    with listener.rolling:
+        listener.onQueryProgress(Event(4))
+    assert total(spark, where) == 10

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tickwright.functions.numbers import human_bytes
 from tickwright.schemas import PROGRESS, RUN_LOG
-from tickwright.sources import files
+from tickwright.sources import batches, files
 from tickwright.sources.tables import empty
 
 # Fixed value: how run logs write a time, with or without microseconds.
@@ -20,18 +20,37 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("timestampNTZFormat", RUN_TIME).csv(path)
 
 
-def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """Progress documents, one JSON object per line; broken lines are left out."""
-    if not files.exists(spark, path):
-        return empty(spark, PROGRESS)
+#: Below a folder of progress documents: a table of those that were rolled up.
+ROLLED = "_rolled"
+
+
+def loose_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Progress documents that are files of their own, one JSON object per line, and their files."""
+    file = F.col("_metadata.file_path").alias("file")
     return (
         spark.read.schema(PROGRESS)
         .option("recursiveFileLookup", True)
         .json(path)
+        .select("*", file)
         .where(F.col("batchId").isNotNull())
     )
 
 
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """All progress documents; broken lines are left out.
+
+    Those that were rolled up come from few files. One that is still a file of its own, too, counts once.
+    """
+    if not files.exists(spark, path):
+        return empty(spark, PROGRESS)
+    loose = loose_progress(spark, path).drop("file")
+    rolled = batches.live(spark, f"{path}/{ROLLED}").folders
+    if not rolled:
+        return loose
+    stored = spark.read.schema(PROGRESS).parquet(*rolled)
+    return loose.union(stored).dropDuplicates(["id", "runId", "name", "batchId", "timestamp"])
+
+
 def latest_progress(progress: DataFrame) -> DataFrame:
     """The last progress of every query."""
     last = F.max_by(F.struct(*progress.columns), F.struct("timestamp", "batchId"))
