@@ -56,6 +56,43 @@ def test_fit_is_the_least_norm_solution(spark, constant_spread, volume):
     assert np.abs(gap).max() < 1e-4
 
 
+@pytest.mark.parametrize("volume", [1e-3, 1e6])
+def test_a_refit_from_stored_moments_is_the_fit_of_all_rows(spark, path, volume):
+    """Batches of very different size and level, one of a single row, one without any."""
+    rows = tick_like(volume=volume)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    sizes = [1, 7, 0, 150, 242]
+    first = 0
+    for batch, size in enumerate(sizes):
+        own = frame.where(F.col("tie").between(first, first + size - 1))
+        regression.moments(own).withColumn("batch_id", F.lit(batch)).write.parquet(f"{path('moments')}/{batch}")
+        first += size
+    stored = spark.read.parquet(*[f"{path('moments')}/{b}" for b in range(len(sizes))])
+    weights, intercept, x = least_norm(rows)
+    expected = x @ weights + intercept
+    again = regression.refit(stored)
+    assert np.abs(x @ np.array(again.coefficients) + again.intercept - expected).max() < 1e-6
+    grouped = regression.moments(frame.withColumn("part", F.col("tie") % 7), by=("part",))
+    assert grouped.count() == 7
+    other = regression.refit(grouped)
+    assert np.abs(x @ np.array(other.coefficients) + other.intercept - expected).max() < 1e-6
+    with pytest.raises(ValueError, match="no rows"):
+        regression.refit(stored.where("n = 0"))
+
+
+def test_the_fit_takes_one_pass(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    frame = spark.createDataFrame(tick_like(), SCHEMA)
+    regression.fit(frame.mapInPandas(counted, SCHEMA))
+    assert seen.value == frame.count()
+
+
 def test_predictions_agree_with_the_library_solver(spark):
     frame = spark.createDataFrame(tick_like(), SCHEMA)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(frame)

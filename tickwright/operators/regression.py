@@ -52,40 +52,87 @@ def least_squares(products: np.ndarray, cross: np.ndarray) -> np.ndarray:
     return weights
 
 
-def fit(train: DataFrame, features: list[str] = FEATURES, target: str = TARGET) -> LinearModel:
-    """Ordinary least squares with intercept.
-
-    One pass for the means and one for the products of deviations from them; what reaches
-    the driver is a matrix of the features' size. The usual features are collinear (the
-    spread is high minus low), which leaves many best coefficients: the ones of least norm
-    are taken.
+def moments(
+    rows: DataFrame, features: list[str] = FEATURES, target: str = TARGET, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """What a fit needs of the rows, in one pass: number, means, and products of deviations from them.
+
+    One row, or one per group ``by``, such as the batch that rows were stored with. Products are of every
+    pair of features and target, each with itself and those after it. They merge (``merged``), so a
+    fit over many stored batches reads a row for each instead of their rows.
     """
     names = [*features, target]
-    found = train.agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)]
-    ).first()
-    if not found["n"]:
+    n = F.count(F.lit(1)).cast("double")
+    pairs = combinations_with_replacement(names, 2)
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.avg(c) for c in names]).alias("means"),
+        F.array(*[F.covar_pop(a, b) * n for a, b in pairs]).alias("products"),
+    )
+
+
+def merged(table: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number, means and products of all groups of ``moments`` together.
+
+    The groups' means deviate from the mean of all, which adds to the products: two passes over
+    rows as wide as a model, whose sums are all that the driver gets.
+    """
+    table = table.where(F.col("n") > 0)
+    size = table.select(F.size("means").alias("k")).first()
+    if size is None:
         raise ValueError("no rows to fit")
-    means = np.array([found[f"m{i}"] for i in range(len(names))])
-    deviations = [F.col(c) - F.lit(float(m)) for c, m in zip(names, means)]
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
-    sums = train.agg(
-        *[F.sum(deviations[i] * deviations[j]).alias(f"s{i}_{j}") for i, j in pairs]
+    k = size["k"]
+    n = F.col("n")
+    total = table.agg(F.sum(n).alias("n"), *[F.sum(n * F.col("means")[i]).alias(f"m{i}") for i in range(k)]).first()
+    means = np.array([total[f"m{i}"] for i in range(k)]) / total["n"]
+    apart = [F.col("means")[i] - F.lit(float(means[i])) for i in range(k)]
+    pairs = list(combinations_with_replacement(range(k), 2))
+    sums = table.agg(
+        *[F.sum(F.col("products")[at] + n * apart[i] * apart[j]).alias(f"s{at}") for at, (i, j) in enumerate(pairs)]
     ).first()
-    products = np.zeros((len(names), len(names)))
-    for i, j in pairs:
-        products[i, j] = products[j, i] = sums[f"s{i}_{j}"]
+    products = np.zeros((k, k))
+    for at, (i, j) in enumerate(pairs):
+        products[i, j] = products[j, i] = sums[f"s{at}"]
+    return total["n"], means, products
+
+
+def solve(
+    n: int, means: np.ndarray, products: np.ndarray, features: list[str] = FEATURES, target: str = TARGET
+) -> LinearModel:
+    """The model of least squares with these moments."""
     if not np.isfinite(products).all():
         raise ValueError("features or target hold infinite values")
     # what varies no more than rounding makes it vary is a constant, and gets no weight
-    steady = np.diag(products) <= found["n"] * (STEADY_TOLERANCE * means) ** 2
-    products[steady, :] = products[:, steady] = 0.0
+    steady = np.diag(products) <= n * (STEADY_TOLERANCE * means) ** 2
+    products = np.where(steady[:, None] | steady, 0.0, products)
     weights = least_squares(products[:-1, :-1], products[:-1, -1])
     return LinearModel(
         list(features), weights.tolist(), float(means[-1] - weights @ means[:-1]), target
     )
 
 
+def fit(train: DataFrame, features: list[str] = FEATURES, target: str = TARGET) -> LinearModel:
+    """Ordinary least squares with intercept, from one pass over the rows.
+
+    What reaches the driver is a matrix of the features' size. The usual features are collinear (the
+    spread is high minus low), which leaves many best coefficients: the ones of least norm
+    are taken.
+    """
+    found = moments(train, features, target).first()
+    if not found["n"]:
+        raise ValueError("no rows to fit")
+    k = len(found["means"])
+    products = np.zeros((k, k))
+    for value, (i, j) in zip(found["products"], combinations_with_replacement(range(k), 2)):
+        products[i, j] = products[j, i] = value
+    return solve(found["n"], np.array(found["means"]), products, features, target)
+
+
+def refit(table: DataFrame, features: list[str] = FEATURES, target: str = TARGET) -> LinearModel:
+    """The model of all rows whose ``moments`` are in the table, without reading the rows again."""
+    return solve(*merged(table), features, target)
+
+
 def predict(model: LinearModel, df: DataFrame, out: str = "prediction") -> DataFrame:
     """``df`` plus the model's prediction; a plain projection, also on streams."""
     return df.withColumn(out, model.expression())

@@ -1,5 +1,6 @@
 """State settings, checkpoints and the end of streams."""
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -11,6 +12,9 @@ STATE_STORES = {
     "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
     "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+#: A stream takes over the session's settings when it starts; two of them must not mix theirs.
+_starting = threading.Lock()
+
 ON_START = ("resume", "replay_if_empty", "fresh")
 
 
@@ -19,20 +23,22 @@ def state_settings(spark: SparkSession, partitions: int | None = None, store: st
     """Settings a stateful stream takes with it when it starts.
 
     The checkpoint pins the number of state partitions for good, so it follows the
-    cluster's parallelism and not the session's setting for batch shuffles.
+    cluster's parallelism and not the session's setting for batch shuffles. Streams that are
+    started by several threads take turns.
     """
     wanted = {
         "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
         "spark.sql.streaming.stateStore.providerClass": STATE_STORES[store],
     }
-    before = {key: spark.conf.get(key) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
+    with _starting:
+        before = {key: spark.conf.get(key) for key in wanted}
+        for key, value in wanted.items():
             spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
 
 
 def checkpoint_path(
