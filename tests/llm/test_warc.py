@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import SMALL, read, rows
 from tickwright.llm import warc
+from tickwright.sources import files
 
 SHOWN = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -49,6 +50,33 @@ def test_payloads_come_back(spark, path):
     assert rows(found, "page_id", "target_uri", "payload") == [("1", "u", "a\r\n\r\nb"), ("2", None, "")]
 
 
+def test_ids_of_any_text_come_back(spark):
+    """Blanks at the ends, line ends, signs of escapes, an empty id: in records and references."""
+    ids = ["a b ", " a", "d\r\ne", "%20", "\u00a0x\u2028", "", "\x00\t", None, "z"]
+    pages = spark.createDataFrame([(i, "u", f"text {n // 2}") for n, i in enumerate(ids)], "page_id string, url string, html string")
+    found = {r.page_id: r for r in warc.round_trip(pages).collect()}
+    assert set(found) == set(ids)
+    pairs = zip(ids[0::2], ids[1::2])
+    for a, b in pairs:
+        first = min(x for x in (a, b) if x is not None)
+        for own in (a, b):
+            assert found[own].refers_to == (None if own == first else first)
+
+
+def test_archives_that_a_lost_attempt_left_are_not_read(spark, path):
+    pages = spark.createDataFrame([(i, "u", f"text {i}") for i in range(40)], "page_id long, url string, html string")
+    listed = warc.write_archives(pages, path("warc"), archive_bytes=400)
+    names = sorted(n for n, _ in files.children(spark, path("warc")) if n.endswith(".gz"))
+    assert len(names) > 3
+    part, attempt, number = names[-1].removesuffix(".warc.gz").split("-")[1:]
+    left = f"part-{part}-{int(attempt) + 1000:012d}-{number}.warc.gz"
+    with open(f"{path('warc')}/{names[-1]}", "rb") as source, open(f"{path('warc')}/{left}", "wb") as out:
+        out.write(source.read())
+    assert warc.read_archives(spark, path("warc")).count() > 40
+    found = warc.read_archives(spark, path("warc"), written_by=listed)
+    assert rows(found.select(F.col("page_id").cast("long").alias("i")), "i") == [(i,) for i in range(40)]
+
+
 def record():
     return warc.page_record("7", "http://x/", b"payload" * 30_000, None)
 

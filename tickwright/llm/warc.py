@@ -11,6 +11,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark import TaskContext
@@ -55,6 +56,11 @@ def _line(text: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", text)
 
 
+def _escaped(text: str) -> str:
+    """A value on one line without blanks, from which ``unquote`` gives the text back."""
+    return re.sub(r"[\s%\x00-\x1f\x7f]", lambda m: quote(m[0], safe=""), text)
+
+
 def page_record(page: str | None, url: str | None, payload: bytes, refers_to: str | None) -> bytes:
     """The gzip member of a page: a revisit if it refers to another page."""
     sha = digest(payload)
@@ -65,13 +71,13 @@ def page_record(page: str | None, url: str | None, payload: bytes, refers_to: st
     fields = [("WARC-Record-ID", _record_id(str(page))), ("WARC-Payload-Digest", f"sha1:{sha}")]
     fields += [("Content-Type", "application/http;msgtype=response")]
     fields += [("WARC-Target-URI", _line(url))] if url is not None else []
-    fields += [("Page-ID", page)] if page is not None else []
+    fields += [("Page-ID", _escaped(page))] if page is not None else []
     if refers_to is None:
         return _record("response", fields, http + payload)
     fields += [
         ("WARC-Profile", REVISIT_PROFILE),
         ("WARC-Refers-To", _record_id(refers_to)),
-        ("Refers-To-Page-ID", refers_to),
+        ("Refers-To-Page-ID", _escaped(refers_to)),
     ]
     return _record("revisit", fields, http)
 
@@ -136,8 +142,8 @@ def page_of(fields: dict[str, str], block: bytes) -> tuple | None:
     if kind == "response" and (len(payload) != length or digest(payload) != sha):
         raise BadRecord("the payload does not match its length or digest")
     body = payload.decode() if kind == "response" else None
-    url, page = fields.get("warc-target-uri"), fields.get("page-id")
-    return page, url, length, sha, kind, fields.get("refers-to-page-id"), body
+    page, refers = (None if x is None else unquote(x) for x in map(fields.get, ("page-id", "refers-to-page-id")))
+    return page, fields.get("warc-target-uri"), length, sha, kind, refers, body
 
 
 # tables to archives and back
@@ -158,9 +164,9 @@ def _written_to(folder: str, archive_bytes: int):
         open_file, size, count, number, done = None, 0, 0, 0, []
 
         def close():
-            # an archive appears whole under its name, whichever attempt was first
+            # an archive appears whole under its name; those of another attempt have other names
             open_file.close()
-            name = f"{path}/part-{part:05d}-{number:05d}.warc.gz"
+            name = f"{path}/part-{part:05d}-{attempt:012d}-{number:05d}.warc.gz"
             store.move(f"{path}/_{attempt}-{number}", name)
             done.append((name, count, size))
 
@@ -188,8 +194,8 @@ def write_archives(pages: DataFrame, folder: str, *, min_bytes: int = 0, archive
 
     NULL html is an empty payload. Of equal payloads of at least ``min_bytes`` the row with the
     smallest page_id is a response and the others revisit it; rows that share the smallest id
-    are all responses, as are those of a payload that only NULL ids have. A repeated attempt
-    of a task writes the same archives.
+    are all responses, as are those of a payload that only NULL ids have. A lost attempt of a task
+    may leave archives behind; those that count are the ones in the result.
     """
     rows = documents(pages, "page_id", "url", "html")
     html = F.coalesce("html", F.lit(""))
@@ -210,9 +216,15 @@ def write_archives(pages: DataFrame, folder: str, *, min_bytes: int = 0, archive
     return written(linked.mapInPandas(_written_to(folder, archive_bytes), spec), "archives")
 
 
-def read_archives(spark: SparkSession, folder: str, *, payload: bool = False) -> DataFrame:
+def read_archives(
+    spark: SparkSession, folder: str, *, payload: bool = False, written_by: DataFrame | None = None
+) -> DataFrame:
     """A row per page record: page_id, target_uri, payload_bytes, payload_digest, record_type,
-    refers_to (and payload). A damaged archive is an error."""
+    refers_to (and payload). A damaged archive is an error.
+
+    ``written_by`` is what ``write_archives`` returned: archives of the attempts named there are read
+    and no others. There is one attempt per task, which is what is sent to the readers.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["page", "url", "size", "sha", "kind", "refers", "payload"]
@@ -230,6 +242,10 @@ def read_archives(spark: SparkSession, folder: str, *, payload: bool = False) ->
                 yield pd.DataFrame(rows, columns=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
+    if written_by is not None:
+        attempt = lambda path: F.regexp_extract(path, r"(part-[0-9]+-[0-9]+)-[0-9]+\.warc\.gz$", 1)
+        counting = written_by.select(attempt("archive").alias("attempt")).distinct()
+        files = files.withColumn("attempt", attempt("path")).join(F.broadcast(counting), "attempt", "left_semi")
     spec = "page string, url string, size long, sha string, kind string, refers string, payload string"
     found = files.select("content").mapInPandas(read, spec)
     return found.select(
@@ -252,8 +268,8 @@ def round_trip(pages: DataFrame, *, min_bytes: int = 0, archive_bytes: int = ARC
     spark = pages.sparkSession
     kind = documents(pages, "page_id").schema["page_id"].dataType
     folder = scratch(spark, "warc")
-    write_archives(pages, folder, min_bytes=min_bytes, archive_bytes=archive_bytes)
-    return read_archives(spark, folder).select(
+    listed = write_archives(pages, folder, min_bytes=min_bytes, archive_bytes=archive_bytes)
+    return read_archives(spark, folder, written_by=listed).select(
         F.col("page_id").cast(kind).alias("page_id"),
         "payload_bytes",
         "payload_digest",
