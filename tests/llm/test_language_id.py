@@ -74,3 +74,26 @@ def test_empty_table_and_no_labels(spark):
     assert rows(language_id.identify(docs), "doc_id", "lang_pred", "score", "rejected") == [
         (1, "und", 0.0, True)
     ] * 2
+
+
+def test_long_texts_without_blanks_are_taken_piece_by_piece(spark, monkeypatch):
+    """Lines without a blank end at their line ends, a run of letters wherever a piece is full."""
+    monkeypatch.setattr(language_id, "_PIECE", 50)
+    lines = "\n".join(f"zeile{'abcdefghij'[i % 10]}" for i in range(100))
+    run = "".join(chr(0x4E00 + i % 3000) for i in range(1000))
+    for text in (lines, run, "1234567890" * 30, lines + run):
+        parts = [t for batch in language_id._pieces([text]) for _, t in batch]
+        assert "".join(parts) == text and max(map(len, parts)) <= 50
+    whole, parts = language_id.trigrams([lines])[0], [
+        g for batch in language_id._pieces([lines]) for g in language_id.trigrams([t for _, t in batch])[0]
+    ]
+    assert sorted(whole.tolist()) == sorted(int(g) for g in parts)
+    monkeypatch.undo()
+    docs = spark.createDataFrame(
+        [*((i * 3, "der hund und die katze im haus " * 5, "de", None) for i in range(30)),
+         *((i * 3 + 1, "the dog and the cat in the house " * 5, "en", None) for i in range(30)),
+         (997, ("der\nhund\nund\ndie\nkatze\n" * 200_000), None, None)],
+        "doc_id long, text string, lang string, source string",
+    )
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
+    assert found[997] == "de"

@@ -37,13 +37,21 @@ def _letters() -> np.ndarray:
 
 
 def _pieces(texts) -> Iterator[list[tuple[int, str]]]:
-    """Lists of (row, part of its text) of about a piece together; parts end between words."""
+    """Lists of (row, part of its text) of about a piece together; parts end between words.
+
+    A run of letters that is longer than a piece is taken for several words.
+    """
     batch, size = [], 0
     for row, text in enumerate(texts):
         at = 0
         while text is not None and at < len(text):
-            end = text.find(" ", at + _PIECE) if len(text) - at > _PIECE else len(text)
-            end = len(text) if end < 0 else end
+            end = len(text)
+            if end - at > _PIECE:
+                # the last place within the piece where no letter stands
+                end = at + _PIECE
+                while end > at and text[end].isalpha():
+                    end -= 1
+                end = end if end > at else at + _PIECE
             batch.append((row, text[at:end].lower()))
             size, at = size + end - at, end
             if size >= _PIECE:
