@@ -110,3 +110,38 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert kept.columns == docs.columns
     assert rows(kept, "doc_id") == [(None,), (2,), (3,)]
     assert simhash.first_of_each(docs.limit(0)).count() == 0
+
+
+def test_tries_are_gone_down_a_bounded_front_at_a_time(monkeypatch):
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 63, (60, 30)).astype(np.uint64)
+    x = np.unique(np.concatenate([base, (base[:, None] ^ flips).ravel()]))
+
+    def found():
+        return sorted(p for i, j in simhash.close_pairs(x, x, 3) for p in zip(i.tolist(), j.tolist()))
+
+    whole = found()
+    monkeypatch.setattr(simhash, "_FRONT", 7)
+    assert found() == whole
+    near = np.bitwise_count(x[:, None] ^ x[None]) <= 3
+    assert whole == [(i, j) for i, j in zip(*np.nonzero(near)) if i < j]
+
+
+def test_copies_per_fingerprint_at_two_depths(spark):
+    """Sets of random fingerprints that are closed at depth 4 and at depth 8: how often each is sent."""
+    rng = np.random.default_rng(2)
+    prints = [(int(v),) for v in rng.integers(-(1 << 63), 1 << 63, 4000)]
+    nodes = spark.createDataFrame(prints, "fp long").distinct().cache()
+    copies = {}
+    for leaf in (400, 40):
+        sent, depths = 0, []
+        for depth, pairs in simhash.node_pairs(nodes, 3, leaf):
+            counts = nodes.groupBy(simhash._prefix(F.col("fp"), depth).alias("b")).count()
+            sent += pairs.join(counts, "b").agg(F.sum("count")).first()[0] or 0
+            depths += [depth] * (not pairs.isEmpty())
+        copies[max(depths)] = sent / nodes.count()
+    # of 16 nodes 15 are within three bits, of 256 there are 93; a pair is sent to one of its nodes
+    assert copies.keys() == {4, 8}
+    assert copies[4] <= 8 and copies[8] <= 47
+    nodes.unpersist()

@@ -24,9 +24,12 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 
-#: Nodes with more fingerprints than this are taken apart before a task gets them.
-LEAF = 2048
+#: Nodes with more fingerprints than this are taken apart before a task gets them. A task holds one and
+#: the nodes near it, some 8 bytes a fingerprint, and goes on down their tries by itself.
+LEAF = 1 << 16
 STEP = 4
+#: Pairs of nodes that a task looks at together.
+_FRONT = 1 << 18
 
 _CHUNK = 1 << 16
 
@@ -126,8 +129,13 @@ def close_pairs(x: np.ndarray, y: np.ndarray, distance: int, small: int = 64):
     Goes down both tries together; with ``x is y`` each pair comes once.
     """
     same = x is y
-    pair = np.array([[0, len(x), 0, len(y), 0, 0]], np.int64)  # a range, b range, depth, bits
-    while len(pair):
+    fronts = [np.array([[0, len(x), 0, len(y), 0, 0]], np.int64)]  # a range, b range, depth, bits
+    while fronts:
+        # the deepest first, and not too many, so that few wait however large the nodes are
+        pair = fronts.pop()
+        if len(pair) > _FRONT:
+            fronts.append(pair[_FRONT:])
+            pair = pair[:_FRONT]
         al, ah, bl, bh, depth, err = pair.T
         product = (ah - al) * (bh - bl)
         ends = (product <= small) | (depth == 64)
@@ -148,7 +156,8 @@ def close_pairs(x: np.ndarray, y: np.ndarray, distance: int, small: int = 64):
             if more and l1 is am:
                 fits &= ~twins
             ways.append(way[fits])
-        pair = np.concatenate(ways)
+        if sum(map(len, ways)):
+            fronts.append(np.concatenate(ways))
 
 
 def _compare(x, y, pair, same, distance):
@@ -257,10 +266,12 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select("u", F.col("v").alias("root"))
         before, step = state, step + 1
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # written, so that the joins are of two plain shuffles and can split a hot value
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = written(least, f"least-{step}")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(down(large), f"large-{step}")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), f"lower-{step}")
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.select("u", F.col("m").alias("v"))
