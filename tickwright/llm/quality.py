@@ -27,7 +27,7 @@ BITS = 12
 SHARD_ROWS = 4_000_000
 #: Of the trusted documents of a language, how many stay; and how much higher than theirs a
 #: perplexity may be, as a factor.
-QUANTILE, MARGIN = 0.99, 1.5
+QUANTILE, MARGIN = 0.995, 1.0
 #: Trusted documents that a quantile needs; a language with fewer that the model has not seen
 #: takes it from all its trusted documents.
 ENOUGH = 50
@@ -267,6 +267,7 @@ def _load(model: DataFrame, langs: list[str], parts: int, part: int) -> dict:
 def perplexities(docs: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(doc_id, lang, address, perplexity, symbols) of each row (columns doc_id, lang, text).
 
+    A pass over the texts per shard of ``shard_rows`` n-grams, which bounds what is sent to tasks.
     A language without a model, and a text without symbols, has perplexity NULL.
     """
     spark = docs.sparkSession
@@ -280,9 +281,10 @@ def perplexities(docs: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS
         shared = spark.sparkContext.broadcast(_load(model, langs, parts, part))
         summed = _summed(shared, parts, part)
         own = rows.filter(F.col("lang").isin(langs))
-        found = found.unionAll(
-            own.select("address", "doc_id", "lang", summed("lang", "text").alias("s"), F.lit(1 / parts).alias("times"))
-        )
+        own = own.select("address", "doc_id", "lang", summed("lang", "text").alias("s"), F.lit(1 / parts).alias("times"))
+        # one shard at a time is held, here and by the executors, however many the model has
+        found = found.unionAll(written(own, "pass"))
+        shared.destroy()
     # each row comes once a pass of its language, repeated rows together
     sums = found.groupBy("address", "doc_id", "lang").agg(
         F.sum("s.total").alias("total"), F.sum("s.n").alias("n"), F.round(F.sum("times")).cast("int").alias("times")
