@@ -46,9 +46,16 @@ def window_stats(ticks: DataFrame, size: str = "10 seconds", slide: str | None =
     )
 
 
+_known_spans: dict[str, int] = {}
+
+
 def _micros(spark: SparkSession, span: str) -> int:
-    epoch = "TIMESTAMP '1970-01-01 00:00:00 UTC'"
-    return spark.sql(f"SELECT unix_micros({epoch} + INTERVAL '{span}')").first()[0]
+    """A span in microseconds, as Spark reads it; asked for once."""
+    if span not in _known_spans:
+        epoch = "TIMESTAMP '1970-01-01 00:00:00 UTC'"
+        read = spark.sql(f"SELECT unix_micros({epoch} + INTERVAL '{span}')")
+        _known_spans[span] = read.first()[0]
+    return _known_spans[span]
 
 
 def overlapping(spark: SparkSession, size: str, slide: str | None) -> bool:

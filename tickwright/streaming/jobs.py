@@ -54,11 +54,6 @@ def start_silver(ticks: DataFrame, path: str, checkpoint: str, trigger: Trigger
     return _append_table(features, path, SILVER, checkpoint, trigger)
 
 
-def arriving(batch: DataFrame, batch_id: int) -> DataFrame:
-    """The ticks of a persisted batch with their place of arrival, which those of a topic have."""
-    return batch if ARRIVAL in batch.columns else numbered(batch, ARRIVAL, batch_id)
-
-
 def start_bronze_and_silver(
     ticks: DataFrame,
     bronze: str,
@@ -77,7 +72,8 @@ def start_bronze_and_silver(
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            placed = arriving(batch, batch_id)
+            # ticks of a topic have their place
+            placed = batch if ARRIVAL in batch.columns else numbered(batch, ARRIVAL, batch_id)
             write_batch(placed, bronze, batch_id)
             write_batch(silver_features(placed), silver, batch_id)
         finally:
@@ -203,11 +199,15 @@ def start_scoring(
     """Score the ticks and store one folder of predictions per micro-batch; older ones are folded."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            write_batch(arriving(batch, batch_id), path, batch_id)
-        finally:
-            batch.unpersist()
+        if ARRIVAL in batch.columns:
+            write_batch(batch, path, batch_id)
+        else:
+            # read twice: to be numbered, then to be written
+            batch = batch.persist()
+            try:
+                write_batch(numbered(batch, ARRIVAL, batch_id), path, batch_id)
+            finally:
+                batch.unpersist()
         fold(batch.sparkSession, path, fan=folded)
 
     scored = score_ticks(with_spread(ticks), model)
