@@ -98,3 +98,22 @@ def test_settings_from_environment():
     config = Settings.from_env({"STREAM_WINDOW_SECONDS": "60", "OUTPUT_DIR": "s3a://x/y"})
     assert (config.window, config.slide) == ("60 seconds", "10 seconds")
     assert config.table("silver") == "s3a://x/y/silver"
+
+
+def test_cleaning_removes_what_does_not_count(spark, path):
+    config = settings(path)
+    assert app.clean(spark, config) == {}
+    files.write_text(spark, path("in/0.json"), "\n".join(messages(20)) + "\n")
+    streams = app.start_processor(spark, config, path("in"), jobs.AVAILABLE_NOW)
+    try:
+        for query in streams:
+            query.awaitTermination()
+    finally:
+        spark.streams.resetTerminated()
+    lost = f"{config.table('silver')}/data/lost-try"
+    files.write_text(spark, f"{lost}/part-0.parquet", "cut off")
+    assert app.clean(spark, config)["silver"] == []  # it may still be written
+    gone = app.clean(spark, config, grace=-60)
+    assert gone["silver"] == ["lost-try"] and not gone["bronze"] and not gone["stats_changes"]
+    assert tables.read_silver(spark, config.table("silver")).count() == 20
+    assert tables.read_stats_changes(spark, config.table("stats_changes")).count()

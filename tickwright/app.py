@@ -1,4 +1,4 @@
-"""The four jobs a user starts: stream, train, predict, report."""
+"""The jobs a user starts: stream, train, predict, report, clean."""
 
 import argparse
 
@@ -9,12 +9,14 @@ from tickwright.operators import evaluation, regression, scoring, training
 from tickwright.schemas import HISTORY, SILVER
 from tickwright.session import build_session, clear_scratch, stored, written
 from tickwright.settings import Settings
+from tickwright.sinks.batches import GRACE, vacuum
 from tickwright.sinks.tables import cached_history, clear_snapshot
-from tickwright.sources import files, logs, payload, tables
+from tickwright.sources import batches, files, logs, payload, tables
 from tickwright.sources.ticks import tick_stream
 from tickwright.streaming import jobs, lifecycle, progress
 
 ROW_ID = "row_id"
+BATCH_TABLES = ("bronze", "silver", "stats_changes", "predictions")
 NO_MODEL = regression.LinearModel(["close"], [0.0], 0.0)
 
 
@@ -148,9 +150,25 @@ def _demo(spark: SparkSession, config: Settings) -> DataFrame:
     return scoring.demo_predictions(silver, model, ROW_ID)
 
 
+def clean(spark: SparkSession, config: Settings, grace: float = GRACE) -> dict[str, list[str]]:
+    """Roll up progress documents, and remove what has not counted for ``grace`` seconds.
+
+    Streams and readers may go on meanwhile; streams fold their tables by themselves. Returns the folders that went, by table.
+    """
+    gone = {}
+    for name in BATCH_TABLES:
+        if batches.logged(spark, config.table(name)):
+            gone[name] = vacuum(spark, config.table(name), grace)
+    progressed = config.table("logs/stream_progress")
+    if files.exists(spark, progressed):
+        progress.roll_up(spark, progressed)
+        gone["progress"] = vacuum(spark, f"{progressed}/{logs.ROLLED}", grace)
+    return gone
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tickwright")
-    parser.add_argument("job", choices=["stream", "train", "predict", "report"])
+    parser.add_argument("job", choices=["stream", "train", "predict", "report", "clean"])
     parser.add_argument("--messages", help="folder of JSON messages instead of the topic")
     parser.add_argument(
         "--complete", action="store_true", help="keep all windows as a snapshot and print them"
@@ -173,6 +191,8 @@ def _run(spark: SparkSession, config: Settings, args: argparse.Namespace) -> Non
         start_predictor(spark, config, args.messages).awaitTermination()
     elif args.job == "train":
         print(train_model(spark, config, args.payloads))
+    elif args.job == "clean":
+        print(clean(spark, config))
     else:
         for name, view in report(spark, config).items():
             print(name)
