@@ -97,3 +97,77 @@ def test_long_texts_without_blanks_are_taken_piece_by_piece(spark, monkeypatch):
     )
     found = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
     assert found[997] == "de"
+
+
+def plain_trigrams(text):
+    """(two before, one before, symbol) of every letter and word end, word by word."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    out = []
+    for word in words:
+        symbols = [0, 0, *(ord(c) % 251 + 1 for c in word), 0]
+        out += list(zip(symbols, symbols[1:], symbols[2:]))
+    return out
+
+
+def plain_discount(counts):
+    once, twice = counts.count(1), counts.count(2)
+    return min(0.95, once / (once + 2 * twice)) if once and twice else 0.5
+
+
+class PlainModel:
+    """Interpolated Kneser-Ney over dictionaries, probability by probability."""
+
+    def __init__(self, texts):
+        self.n = Counter(t for text in texts for t in plain_trigrams(text))
+        self.followed = Counter((b, c) for _, b, c in self.n)
+        self.preceded = Counter(c for _, c in self.followed)
+        self.d3 = plain_discount(list(self.n.values()))
+        self.d2 = plain_discount(list(self.followed.values()))
+
+    def single(self, c):
+        return (0.5 / 256 + self.preceded[c]) / (0.5 + sum(self.preceded.values()))
+
+    def pair(self, b, c):
+        own = {y: n for (x, y), n in self.followed.items() if x == b}
+        if not own:
+            return self.single(c)
+        total = sum(own.values())
+        return max(0, own.get(c, 0) - self.d2) / total + self.d2 * len(own) / total * self.single(c)
+
+    def triple(self, a, b, c):
+        own = {z: n for (x, y, z), n in self.n.items() if (x, y) == (a, b)}
+        if not own:
+            return self.pair(b, c)
+        total = sum(own.values())
+        return max(0, own.get(c, 0) - self.d3) / total + self.d3 * len(own) / total * self.pair(b, c)
+
+    def entropy(self, text):
+        grams = plain_trigrams(text)
+        return -sum(math.log(self.triple(*g)) for g in grams) / len(grams), len(grams)
+
+
+def test_scores_equal_a_plain_model(spark):
+    """Predictions, scores and cross-entropies against dictionaries, over texts seen and unseen."""
+    said = {
+        "en": "the cat and the dog saw that other house there then",
+        "de": "der hund und die katze sahen das andere haus dort dann",
+        "es": "el perro y el gato vieron aquella otra casa entonces",
+    }
+    cases = []
+    for i in range(90):
+        lang = sorted(said)[i % 3]
+        words = said[lang].split()
+        cases.append((i, " ".join(words[(i * k) % len(words)] for k in range(1, 9)) + f"{i}!", lang))
+    cases += [(200 + i, t, None) for i, t in enumerate(["the hund y casa", "zzz qqq", "Haus-Katze, there", "él thé döt"])]
+    docs = spark.createDataFrame(cases, "doc_id long, text string, lang string")
+    held = {r.doc_id for r in docs.filter(language_id.held_out("doc_id")).collect()}
+    models = {lang: PlainModel([t for i, t, x in cases if x == lang and i not in held]) for lang in sorted(said)}
+    found = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    for i, text, _ in cases:
+        entropies = {lang: m.entropy(text) for lang, m in models.items()}
+        best = min(entropies, key=lambda x: (entropies[x][0], x))
+        least, n = entropies[best]
+        score = 1 / sum(math.exp(-(e - least) * n) for e, _ in entropies.values())
+        assert found[i].lang_pred == best and found[i].held_out == (i in held)
+        assert found[i].cross_entropy == pytest.approx(least, rel=1e-4)
+        assert found[i].score == pytest.approx(score, rel=1e-3)
